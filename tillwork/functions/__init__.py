@@ -12,5 +12,7 @@ from tillwork.functions.columns import (  # noqa: F401
     state_code,
     stockout_flag,
     surrogate_key,
+    to_cents,
+    to_money,
     yes_flag,
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -33,6 +34,18 @@ def capped(value: Column, limit: int) -> Column:
     return F.when(value.isNotNull(), F.least(value, F.lit(limit).cast("double")))
 
 
+def to_cents(amount: Column) -> Column:
+    """Money as whole cents. Sums of integers run in generated code; sums of wide decimals go through objects.
+
+    A sum holds up to 9.2e16 currency units per group; beyond that, ANSI mode raises instead of wrapping round.
+    """
+    return (amount.cast("decimal(16,2)") * F.lit(100)).cast("bigint")
+
+
+def to_money(cents: Column) -> Column:
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(38,2)")
+
+
 def price_tier(price: Column) -> Column:
     tiers = reduce(
         lambda chain, tier: chain.when(price < tier[0], tier[1]),

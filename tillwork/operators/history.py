@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork import functions as fn
 from tillwork.operators.lookup import lookup
 
 # --- fixed values: key and tracked columns of the customer history, and the names of the added columns -----------
@@ -39,10 +38,15 @@ def snapshot_input(customers: DataFrame, addresses: DataFrame) -> DataFrame:
     )
 
 
+def _version_id(key: Column, at: Column) -> Column:
+    parts = [F.coalesce(part.cast("string"), F.lit("")) for part in (key, at)]
+    return F.md5(F.concat_ws("|", *parts))
+
+
 def _opened(rows: DataFrame, key: str, at: Column) -> DataFrame:
     return rows.withColumns(
         {
-            VERSION_ID: fn.surrogate_key(key, at),
+            VERSION_ID: _version_id(F.col(key), at),
             UPDATED_AT: at,
             VALID_FROM: at,
             VALID_TO: F.lit(None).cast("timestamp_ntz"),
@@ -83,14 +87,12 @@ def scd2_merge(
     # One pass over the join: each matched pair yields the kept or closed old row, the opened new row, or both.
     end = F.when(~unchanged, at)
     kept = F.struct(
-        *[F.col(f"old.{c}").alias(c) for c in (*columns, VERSION_ID)],
-        F.coalesce(end, F.col(f"old.{UPDATED_AT}")).alias(UPDATED_AT),
-        F.col(f"old.{VALID_FROM}").alias(VALID_FROM),
+        *[F.col(f"old.{c}").alias(c) for c in (*columns, VERSION_ID, UPDATED_AT, VALID_FROM)],
         end.alias(VALID_TO),
     )
     opened = F.struct(
         *[F.col(f"new.{c}").alias(c) for c in columns],
-        fn.surrogate_key(F.col(f"new.{key}"), at).alias(VERSION_ID),
+        _version_id(F.col(f"new.{key}"), at).alias(VERSION_ID),
         at.alias(UPDATED_AT),
         at.alias(VALID_FROM),
         F.lit(None).cast("timestamp_ntz").alias(VALID_TO),

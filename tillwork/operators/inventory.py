@@ -35,7 +35,7 @@ def with_daily_units(snapshots: DataFrame, units: DataFrame) -> DataFrame:
         F.col("sale_date").alias("_sale_date"),
         F.col("units_sold_that_day").alias("_units"),
     )
-    joined = spread_join(snapshots, sold, {"item_id": "_item_id", "inv_date": "_sale_date"})
+    joined = spread_join(snapshots, sold, {"item_id": "_item_id", "inv_date": "_sale_date"}, spread_by=("warehouse_id",))
     return joined.withColumn("units_sold_that_day", F.coalesce("_units", F.lit(0).cast("bigint"))).drop(*sold.columns)
 
 

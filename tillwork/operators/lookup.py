@@ -12,6 +12,7 @@ Three ways, from cheapest to most general:
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,16 +48,18 @@ def lookup(
     on: dict[str, str],
     how: str = "left",
     *,
+    spread_by: Sequence[str] = (),
     limit: int = BROADCAST_BYTES,
     hot: list[int] | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dim`` on ``{fact column: dimension column}``; fact and dimension column names must differ.
 
+    ``spread_by`` names fact columns that vary between rows of one key; they are only read by a salted shuffle join.
     ``dim`` should hold each key once (the quality checks test that); duplicates multiply rows as in any join.
     """
     if small(dim, limit):
         return facts.join(F.broadcast(dim), _matches(on), how)
-    return spread_join(facts, dim, on, how, hot=hot)
+    return spread_join(facts, dim, on, how, spread_by=spread_by, hot=hot)
 
 
 def hot_keys(facts: DataFrame, columns: list[str], share: float = HOT_SHARE, rows: int = PROBE_ROWS) -> list[int]:
@@ -79,44 +82,56 @@ def spread_join(
     on: dict[str, str],
     how: str = "left",
     *,
+    spread_by: Sequence[str] = (),
     hot: list[int] | None = None,
     ways: int | None = None,
 ) -> DataFrame:
     """Shuffle join in which rows without a key and rows of hot keys are spread over ``ways`` tasks.
 
-    Fact rows of a hot key get one of ``ways`` salts and the matching dimension rows exist once per salt; all other
-    rows have salt 0 on both sides. ``hot`` is a list from ``hot_keys``; when absent, large facts are probed.
+    Fact rows of a hot key get one of ``ways`` salts, from a hash of ``spread_by``, and the matching dimension rows
+    exist once per salt; all other rows have salt 0 on both sides. ``hot`` is a list from ``hot_keys``; when absent,
+    large facts are probed. Small facts without hot keys take the plain join.
     """
     if how not in ("left", "inner"):
         raise ValueError("spread_join keeps or filters fact rows: use left or inner")
     left_columns, right_columns = list(on), list(on.values())
+    large = input_bytes(facts) > PROBE_BYTES
     if hot is None:
-        hot = hot_keys(facts, left_columns) if input_bytes(facts) > PROBE_BYTES else []
+        hot = hot_keys(facts, left_columns) if large and spread_by else []
+    if not spread_by or not (large or hot):
+        return facts.join(dim, _matches(on), how)
     ways = ways or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def is_hot(columns: list[str]) -> Column:
         return F.xxhash64(*columns).isin(hot) if hot else F.lit(False)
 
     keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in left_columns])
-    spread_by = F.pmod(F.xxhash64(*facts.columns), F.lit(ways))
-    salted_facts = facts.withColumn(
-        "_salt", F.when(keyless | is_hot(left_columns), spread_by).otherwise(F.lit(0)).cast("int")
-    )
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
+    salted_facts = facts.withColumn("_salt", F.when(keyless | is_hot(left_columns), salt).otherwise(0))
     every_salt = F.sequence(F.lit(0), F.lit(ways - 1))
-    salts = F.when(is_hot(right_columns), every_salt).otherwise(F.array(F.lit(0))) if hot else F.array(F.lit(0))
-    salted_dim = dim.withColumn("_dim_salt", F.explode(salts))
+    salted_dim = dim.withColumn(
+        "_dim_salt", F.explode(F.when(is_hot(right_columns), every_salt).otherwise(F.array(F.lit(0))))
+    )
     condition = _matches(on) & (F.col("_salt") == F.col("_dim_salt"))
     return salted_facts.join(salted_dim, condition, how).drop("_salt", "_dim_salt")
 
 
 def fanout_left_join(
-    left: DataFrame, right: DataFrame, on: dict[str, str], *, hot: list[int] | None = None, ways: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    on: dict[str, str],
+    *,
+    spread_left: Sequence[str],
+    spread_right: Sequence[str],
+    hot: list[int] | None = None,
+    ways: int | None = None,
 ) -> DataFrame:
     """Left join in which a key may repeat on both sides, so that either side can be the heavy one.
 
     Keys that are not hot take ``spread_join``. For a hot key the pairs are laid out on a grid: each left row picks a
     grid row and goes to all grid columns, each right row picks a grid column and goes to all grid rows, so each pair
-    meets exactly once and no task sees the whole key. Left rows of hot keys without any partner are added at the end.
+    meets exactly once and no task sees the whole key. ``spread_left`` and ``spread_right`` name columns that vary
+    between rows of one key. Left rows of hot keys without any partner are added at the end.
     """
     left_columns, right_columns = list(on), list(on.values())
     if hot is None:
@@ -129,17 +144,17 @@ def fanout_left_join(
             }
         )
     if not hot:
-        return spread_join(left, right, on, hot=[])
+        return left.join(right, _matches(on), "left")
     is_hot_left = F.xxhash64(*left_columns).isin(hot)
     is_hot_right = F.xxhash64(*right_columns).isin(hot)
-    cold = spread_join(left.where(~is_hot_left), right.where(~is_hot_right), on, hot=[])
+    cold = left.where(~is_hot_left).join(right.where(~is_hot_right), _matches(on), "left")
 
     tasks = ways or max(4, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     edge = math.ceil(math.sqrt(tasks))
     every = F.explode(F.sequence(F.lit(0), F.lit(edge - 1)))
     hot_left, hot_right = left.where(is_hot_left), right.where(is_hot_right)
-    grid_left = hot_left.withColumn("_row", F.pmod(F.xxhash64(*left.columns), F.lit(edge)).cast("int"))
-    grid_right = hot_right.withColumn("_dim_column", F.pmod(F.xxhash64(*right.columns), F.lit(edge)).cast("int"))
+    grid_left = hot_left.withColumn("_row", F.pmod(F.xxhash64(*spread_left), F.lit(edge)).cast("int"))
+    grid_right = hot_right.withColumn("_dim_column", F.pmod(F.xxhash64(*spread_right), F.lit(edge)).cast("int"))
     same_cell = (F.col("_row") == F.col("_dim_row")) & (F.col("_column") == F.col("_dim_column"))
     paired = (
         grid_left.withColumn("_column", every)

@@ -151,7 +151,7 @@ def unified_sales(
         F.col("region").alias("store_region"),
     )
     placed = lookup(spine, branches, {"store_id": "_store_id"})
-    bought = lookup(placed, customer_places(customers, addresses), {"customer_id": "known_customer_id"})
+    bought = lookup(placed, customer_places(customers, addresses), {"customer_id": "known_customer_id"}, spread_by=SALE_KEY)
     return (
         bought.withColumn("customer_id", F.col("known_customer_id"))
         .withColumn("state_code", F.coalesce("store_state", "home_state"))
@@ -177,9 +177,18 @@ def unified_returns(returns: DataFrame, dates: DataFrame, items: DataFrame, spin
     )
     described = lookup(dated, _prefixed(items, "item_id", "category", "price_tier"), {"item_id": "_item_id"})
     sold = spine.select(
-        F.col("ticket_number").alias("_ticket"), F.col("item_id").alias("_sold_item"), F.col("promotion_id")
+        F.col("ticket_number").alias("_ticket"),
+        F.col("item_id").alias("_sold_item"),
+        "promotion_id",
+        F.xxhash64("sale_date", "customer_id", "quantity_sold").alias("_sold_row"),
+    )
+    matched = fanout_left_join(
+        described,
+        sold,
+        {"ticket_number": "_ticket", "item_id": "_sold_item"},
+        spread_left=("customer_id", "return_date", "quantity_returned"),
+        spread_right=("_sold_row",),
     )
-    matched = fanout_left_join(described, sold, {"ticket_number": "_ticket", "item_id": "_sold_item"})
     return matched.select(
         "return_sk",
         "return_channel",
@@ -215,7 +224,14 @@ def net_sales(unified: DataFrame, returns: DataFrame, match_channel: bool = Fals
     if match_channel:
         on["channel"] = "return_channel"
     dropped = {"gross_amount_inc_tax", "net_profit"}
-    return fanout_left_join(unified, back, on).select(
+    joined = fanout_left_join(
+        unified,
+        back,
+        on,
+        spread_left=("customer_id", "sale_date", "gross_amount"),
+        spread_right=("return_amount", "quantity_returned"),
+    )
+    return joined.select(
         *[c for c in UNIFIED_COLUMNS if c not in dropped],
         "return_amount",
         "quantity_returned",
@@ -238,30 +254,30 @@ def return_totals(spine: DataFrame, returns: DataFrame, match_channel: bool = Fa
         *SALE_KEY,
         *by_channel,
         F.lit(1).cast("bigint").alias("back"),
-        "return_amount",
+        fn.to_cents(F.col("return_amount")).alias("cents"),
     )
     both = sold.unionByName(back, allowMissingColumns=True)
     if not match_channel:
         per_key = both.groupBy(*SALE_KEY).agg(
             F.sum("sold").alias("sold"),
             F.sum("back").alias("back"),
-            F.sum("return_amount").alias("amount"),
-            F.count("return_amount").alias("amounts"),
+            F.sum("cents").alias("cents"),
+            F.count("cents").alias("amounts"),
         )
         return _copies(per_key)
     hit = {name: F.col("return_channel") == name for name in fixed.RETURN_CHANNELS}
     wide = both.groupBy(*SALE_KEY).agg(
         F.sum("sold").alias("sold"),
         *[F.sum(F.when(h, F.col("back"))).alias(f"back_{n}") for n, h in hit.items()],
-        *[F.sum(F.when(h, F.col("return_amount"))).alias(f"amount_{n}") for n, h in hit.items()],
-        *[F.count(F.when(h, F.col("return_amount"))).alias(f"amounts_{n}") for n, h in hit.items()],
+        *[F.sum(F.when(h, F.col("cents"))).alias(f"cents_{n}") for n, h in hit.items()],
+        *[F.count(F.when(h, F.col("cents"))).alias(f"amounts_{n}") for n, h in hit.items()],
     )
     per_channel = F.array(
         *[
             F.struct(
                 F.lit(n).alias("return_channel"),
                 F.col(f"back_{n}").alias("back"),
-                F.col(f"amount_{n}").alias("amount"),
+                F.col(f"cents_{n}").alias("cents"),
                 F.col(f"amounts_{n}").alias("amounts"),
             )
             for n in hit
@@ -271,34 +287,33 @@ def return_totals(spine: DataFrame, returns: DataFrame, match_channel: bool = Fa
 
 
 def _copies(per_key: DataFrame, *extra: str) -> DataFrame:
-    money = F.col("sold").cast("decimal(18,0)") * F.col("amount")
     return per_key.where((F.col("back") > 0) & (F.col("sold") > 0)).select(
         *[F.col(c).alias(f"_{c}") for c in (*SALE_KEY, *extra)],
         (F.col("sold") * F.col("back")).alias("matches"),
         (F.col("sold") * F.col("amounts")).alias("returned"),
-        money.cast("decimal(38,2)").alias("refund"),
+        (F.col("sold") * F.col("cents")).alias("refund"),
     )
 
 
 def sales_lines(unified: DataFrame, totals: DataFrame, match_channel: bool = False) -> DataFrame:
     """One row per sale with weights that stand for its net-sales rows.
 
-    ``copies`` rows of net sales come from the line, ``returned_copies`` of them count as returned, ``refund`` is the
-    sum of their return amounts (0 if none), and ``line_gross`` / ``line_net`` / ``line_units`` are their sums.
+    ``copies`` rows of net sales come from the line and ``returned_copies`` of them count as returned. The sums over
+    them are ``line_units`` and, in whole cents, ``gross_cents``, ``refund_cents`` (0 if none) and ``net_cents``.
     """
     on = {"ticket_number": "_ticket_number", "item_id": "_item_id"}
     if match_channel:
         on["channel"] = "_return_channel"
     copies = F.coalesce("matches", F.lit(1).cast("bigint"))
-    joined = spread_join(unified, totals, on)
-    gross = F.when(F.col("matches").isNull(), F.col("gross_amount")).otherwise(F.col("gross_amount") * copies)
-    refund = F.coalesce("refund", F.lit(0).cast("decimal(38,2)"))
+    joined = spread_join(unified, totals, on, spread_by=("customer_id", "sale_date", "gross_amount"))
+    gross = fn.to_cents(F.col("gross_amount")) * copies
+    refund = F.coalesce("refund", F.lit(0).cast("bigint"))
     return joined.select(
         *UNIFIED_COLUMNS,
         copies.alias("copies"),
         F.coalesce("returned", F.lit(0).cast("bigint")).alias("returned_copies"),
-        refund.alias("refund"),
-        gross.cast("decimal(38,2)").alias("line_gross"),
-        (gross - refund).cast("decimal(38,2)").alias("line_net"),
         (F.col("quantity_sold") * copies).alias("line_units"),
+        gross.alias("gross_cents"),
+        refund.alias("refund_cents"),
+        (gross - refund).alias("net_cents"),
     )

@@ -39,33 +39,39 @@ def present(mart: str, df: DataFrame) -> DataFrame:
 
 # --- daily revenue -------------------------------------------------------------------------------------------------
 
-REVENUE_KEYS = (
-    "sale_date",
-    "channel",
-    "state_code",
-    "region",
-    "calendar_year",
-    "month_of_year",
-    "fiscal_year",
-    "fiscal_quarter",
-    "is_holiday",
-    "is_weekend",
-)
-
-
-def daily_revenue(lines: DataFrame) -> DataFrame:
-    """Net revenue by day, channel and place. Returns count on the day of the sale."""
-    rows = F.sum("copies")
-    return lines.groupBy(*REVENUE_KEYS).agg(
-        F.sum("line_gross").alias("gross_revenue"),
-        F.sum("refund").alias("total_return_amount"),
-        F.sum("line_net").alias("net_revenue"),
-        rows.alias("transaction_count"),
+REVENUE_KEYS = ("sale_date", "channel", "state_code", "region")
+CALENDAR_COLUMNS = ("calendar_year", "month_of_year", "fiscal_year", "fiscal_quarter", "is_holiday", "is_weekend")
+
+
+def daily_revenue(lines: DataFrame, dates: DataFrame) -> DataFrame:
+    """Net revenue by day, channel and place. Returns count on the day of the sale.
+
+    The calendar has one row per day, so its columns are attached to the finished groups instead of being carried
+    through the shuffles of the lines.
+    """
+    sums = lines.groupBy(*REVENUE_KEYS).agg(
+        fn.to_money(F.sum("gross_cents")).alias("gross_revenue"),
+        fn.to_money(F.sum("refund_cents")).alias("total_return_amount"),
+        fn.to_money(F.sum("net_cents")).alias("net_revenue"),
+        F.sum("copies").alias("transaction_count"),
         F.sum("line_units").alias("total_units_sold"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.max(F.when(F.col("promotion_id").isNotNull(), 1).otherwise(0)).cast("bigint").alias("promo_transaction_count"),
-        fn.safe_divide(F.sum("line_net"), rows).alias("avg_order_value"),
-        fn.safe_divide(F.sum("returned_copies"), rows).alias("return_rate"),
+        F.sum("returned_copies").alias("returned"),
+    )
+    calendar = dates.select(F.col("calendar_date").alias("_day"), *CALENDAR_COLUMNS)
+    return lookup(sums, calendar, {"sale_date": "_day"}, "inner").select(
+        *REVENUE_KEYS,
+        *CALENDAR_COLUMNS,
+        "gross_revenue",
+        "total_return_amount",
+        "net_revenue",
+        "transaction_count",
+        "total_units_sold",
+        "unique_customers",
+        "promo_transaction_count",
+        fn.safe_divide(F.col("net_revenue"), F.col("transaction_count")).alias("avg_order_value"),
+        fn.safe_divide(F.col("returned"), F.col("transaction_count")).alias("return_rate"),
     )
 
 
@@ -76,7 +82,7 @@ def sales_by_promo_flag(sales: DataFrame, items: DataFrame) -> DataFrame:
     """Units and revenue per item, with and without promotion. Summed first, described afterwards."""
     sums = sales.groupBy("item_id", F.col("promotion_id").isNotNull().alias("was_promoted")).agg(
         F.sum("quantity_sold").alias("units_sold"),
-        F.sum("gross_amount").alias("gross_revenue"),
+        fn.to_money(F.sum(fn.to_cents(F.col("gross_amount")))).alias("gross_revenue"),
         F.count("*").alias("transaction_count"),
     )
     described = items.select(F.col("item_id").alias("_item_id"), "category", "price_tier", "item_description")
@@ -95,7 +101,11 @@ def returns_by_promo_flag(returns: DataFrame, sales: DataFrame, items: DataFrame
         F.when(F.col("promotion_id").isNull(), 1).otherwise(0).cast("bigint").alias("plain"),
     )
     back = returns.select(
-        "ticket_number", "item_id", F.lit(1).cast("bigint").alias("back"), "quantity_returned", "return_amount"
+        "ticket_number",
+        "item_id",
+        F.lit(1).cast("bigint").alias("back"),
+        "quantity_returned",
+        fn.to_cents(F.col("return_amount")).alias("cents"),
     )
     per_key = (
         sold.unionByName(back, allowMissingColumns=True)
@@ -105,7 +115,7 @@ def returns_by_promo_flag(returns: DataFrame, sales: DataFrame, items: DataFrame
             F.coalesce(F.sum("plain"), F.lit(0)).alias("plain"),
             F.sum("back").alias("back"),
             F.sum("quantity_returned").alias("units"),
-            F.sum("return_amount").alias("value"),
+            F.sum("cents").alias("cents"),
         )
         .where(F.col("back") > 0)
         # A return without a sale still counts once, as not promoted.
@@ -119,7 +129,7 @@ def returns_by_promo_flag(returns: DataFrame, sales: DataFrame, items: DataFrame
         .groupBy("item_id", F.col("times.flag").alias("was_promoted"))
         .agg(
             F.sum(F.col("units") * times).alias("units_returned"),
-            F.sum((F.col("value") * times.cast("decimal(18,0)")).cast("decimal(38,2)")).alias("gross_return_value"),
+            fn.to_money(F.sum(F.col("cents") * times)).alias("gross_return_value"),
         )
     )
     described = items.select(F.col("item_id").alias("_item_id"), "category", "price_tier")
@@ -188,7 +198,7 @@ def _channel_sums() -> list[Column]:
     sums = []
     for name in fixed.CHANNELS:
         here = F.col("channel") == name
-        sums.append(F.sum(F.when(here, F.col("line_net"))).alias(f"spend_{name}"))
+        sums.append(F.sum(F.when(here, F.col("net_cents"))).alias(f"spend_{name}"))
         sums.append(F.count(F.when(here, 1)).alias(f"lines_{name}"))
     return sums
 
@@ -197,7 +207,7 @@ def customer_totals(lines: DataFrame, as_of: dt.date, *extra: Column) -> DataFra
     """Spend, orders and recency per customer and place; sales without a customer are left out."""
     known = lines.where(F.col("customer_id").isNotNull())
     totals = known.groupBy("customer_id", "state_code", "region").agg(
-        F.sum("line_net").alias("total_lifetime_spend"),
+        fn.to_money(F.sum("net_cents")).alias("total_lifetime_spend"),
         F.countDistinct("ticket_number").alias("order_count"),
         F.sum("copies").alias("transaction_count"),
         F.min("sale_date").alias("first_order_date"),
@@ -215,7 +225,7 @@ def preferred_channel(lines: DataFrame) -> DataFrame:
     best = fn.best_channel(spend, count)
     amount = F.coalesce(*[F.when(best == name, spend[name]) for name in fixed.CHANNELS])
     return known.select(
-        "customer_id", best.alias("preferred_channel"), amount.alias("preferred_channel_spend")
+        "customer_id", best.alias("preferred_channel"), fn.to_money(amount).alias("preferred_channel_spend")
     )
 
 
@@ -279,9 +289,9 @@ def promo_windows(promotions: DataFrame, dates: DataFrame) -> DataFrame:
 def _measures() -> list[Column]:
     return [
         F.sum("copies").alias("transactions"),
-        F.sum("line_gross").alias("gross"),
-        F.sum("line_net").alias("net"),
-        F.sum("refund").alias("refunds"),
+        F.sum("gross_cents").alias("gross"),
+        F.sum("net_cents").alias("net"),
+        F.sum("refund_cents").alias("refunds"),
         F.sum("returned_copies").alias("returned"),
     ]
 
@@ -347,9 +357,9 @@ def promo_period_sales(lines: DataFrame, windows: DataFrame) -> DataFrame:
     return sums.select(
         "promotion_id",
         F.col("transactions").alias("promo_transaction_count"),
-        F.col("gross").alias("promo_gross_revenue"),
-        F.col("net").alias("promo_net_revenue"),
-        F.col("refunds").alias("promo_return_amount"),
+        fn.to_money(F.col("gross")).alias("promo_gross_revenue"),
+        fn.to_money(F.col("net")).alias("promo_net_revenue"),
+        fn.to_money(F.col("refunds")).alias("promo_return_amount"),
         fn.safe_divide(F.col("returned"), F.col("transactions")).alias("promo_return_rate"),
         F.col("customers").alias("promo_unique_customers"),
     )
@@ -366,8 +376,8 @@ def baseline_sales(lines: DataFrame, windows: DataFrame) -> DataFrame:
     return sums.select(
         F.col("_promotion_id").alias("promotion_id"),
         F.col("baseline_transactions").alias("baseline_transaction_count"),
-        F.col("baseline_gross").alias("baseline_gross_revenue"),
-        F.col("baseline_net").alias("baseline_net_revenue"),
+        fn.to_money(F.col("baseline_gross")).alias("baseline_gross_revenue"),
+        fn.to_money(F.col("baseline_net")).alias("baseline_net_revenue"),
         fn.safe_divide(F.col("baseline_returned"), F.col("baseline_transactions")).alias("baseline_return_rate"),
     )
 
@@ -382,7 +392,7 @@ def promotion_effectiveness(lines: DataFrame, promotions: DataFrame, dates: Data
         return F.coalesce(name, F.lit(0).cast("bigint"))
 
     def money(name: str) -> Column:
-        return F.coalesce(name, F.lit(0).cast("decimal(38,2)"))
+        return fn.to_money(F.coalesce(name, F.lit(0).cast("bigint")))
 
     def rate(period: str) -> Column:
         share = fn.safe_divide(F.col(f"{period}_returned"), F.col(f"{period}_transactions"))

@@ -100,7 +100,7 @@ class Warehouse:
 
     @cached_property
     def mart_daily_revenue(self) -> DataFrame:
-        return marts.daily_revenue(self.sales_lines)
+        return marts.daily_revenue(self.sales_lines, self.staged("date_dim"))
 
     @cached_property
     def mart_returns_analysis(self) -> DataFrame:
