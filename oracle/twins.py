@@ -394,6 +394,9 @@ def oracle_sql() -> dict[str, str]:
             from ({_task_counts(0)})
             union all select 'root_refresh_task', null, 'RUNNING', null
             union all select 'log_completion_task — pipeline complete', null, 'SUCCESS', null""",
+        "failure_row": """
+            select 'refresh_returns_task' as task_name, 'FAILED' as status, true as has_message
+            from (select 1 from lineitem where l_returnflag = 'R' limit 1)""",
         "layered_run": f"""
             select 'silver' as layer, check_name, failures from ({report(STAGING_CHECKS)})
             union all

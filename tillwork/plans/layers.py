@@ -33,6 +33,7 @@ def layered_run(
     as_of: dt.date,
     loaded_at: dt.datetime,
     previous_history: str | None = None,
+    fresh_as_of: dt.datetime | None = None,
     limits: Thresholds | None = None,
     tolerated: Iterable[str] = (),
     must_pass: bool = True,
@@ -41,12 +42,19 @@ def layered_run(
 
     Each run has its own folder, so a failed run leaves the published one untouched. The sales lines, which three
     marts read, are computed and stored once. Views move to this run only if no check outside ``tolerated`` fails;
-    with ``must_pass`` such a failure is raised after everything was reported.
+    with ``must_pass`` such a failure is raised after everything was reported. ``fresh_as_of`` adds the age of the
+    clickstream to the checks.
     """
     raw = copy_bronze(spark, sources, f"{root}/bronze", tuple(sources))
     house = Warehouse(raw, as_of=as_of, limits=limits)
     staged = {f"stg_{table.removeprefix('raw_')}": house.staged(table) for table in raw}
     silver = quality.run_checks(staged, quality.STAGING_CHECKS)
+    if fresh_as_of:
+        stale = quality.dq_freshness(raw["raw_clickstream"], "_ingested_at", fresh_as_of)
+        count = F.when(F.col("status") == "error", 1).otherwise(0).cast("bigint")
+        silver = silver.unionByName(
+            stale.select(F.lit("freshness.raw_clickstream._ingested_at").alias("check_name"), count.alias("failures"))
+        )
     _report("silver", silver).write.mode("overwrite").parquet(f"{root}/checks/layer=silver")
 
     house.sales_lines.write.mode("overwrite").parquet(f"{root}/intermediate/sales_lines")

@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.streaming.stopTimeout": "60s",
+    # The default of 100 compiled stages is soon full when all models run in one session.
+    "spark.sql.codegen.cache.maxEntries": "1000",
+    # Plans are built from many small expressions; recording the Python line of each one doubles the time for that.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

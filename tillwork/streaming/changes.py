@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwork.streaming.ingest import drain
+from tillwork.streaming.ingest import drain, start_drain
 
 # --- fixed values: captured tables by refresh task, in the order of the tasks, and the audit names -----------------
 TASKS = {
@@ -57,39 +57,48 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(path)
 
 
-def append_stream(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    checkpoint: str,
-    sink: Callable[[DataFrame, int], None],
-    files_per_batch: int | None = None,
-) -> None:
-    """Hands the rows added to a folder since the last call to ``sink``. The position moves only if it succeeds.
+def new_rows(
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of the rows that are added to a folder.
 
     The folder must only ever be appended to; files that a rebuild replaces would count as new.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    drain(reader.parquet(folder), checkpoint, sink)
+    return reader.parquet(folder)
+
+
+def append_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str, sink: Callable[[DataFrame, int], None]
+) -> None:
+    """Hands the rows added to a folder since the last call to ``sink``. The position moves only if it succeeds."""
+    drain(new_rows(spark, folder, schema), checkpoint, sink)
 
 
 def count_new_rows(
     spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType]], state: str, run: str
 ) -> DataFrame:
-    """Consumes the change stream of each table; new rows per table, stored under the name of the run.
+    """Consumes the change stream of each table, all at once; new rows per table, stored under the name of the run.
 
     Counts are partial sums on the executors and one row per batch in storage; repeating a run after a crash counts
     nothing twice, because a batch replaces its own count.
     """
-    for table, (folder, schema) in tables.items():
-
-        def store(batch: DataFrame, number: int, table: str = table) -> None:
-            counted = batch.agg(F.count("*").alias("n_rows")).select(F.lit(table).alias("table_name"), "n_rows")
-            counted.write.mode("overwrite").parquet(f"{state}/counts/run={run}/table={table}/batch={number}")
-
-        append_stream(spark, folder, schema, f"{state}/positions/{table}", store)
+    started = []
+    try:
+        for table, (folder, schema) in tables.items():
+
+            def store(batch: DataFrame, number: int, table: str = table) -> None:
+                counted = batch.agg(F.count("*").alias("n_rows")).select(F.lit(table).alias("table_name"), "n_rows")
+                counted.write.mode("overwrite").parquet(f"{state}/counts/run={run}/table={table}/batch={number}")
+
+            started.append(start_drain(new_rows(spark, folder, schema), f"{state}/positions/{table}", store))
+        for query in started:
+            query.awaitTermination()
+    finally:
+        for query in started:
+            query.stop()
     return stored_counts(spark, state, run)
 
 

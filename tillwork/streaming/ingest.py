@@ -36,9 +36,14 @@ def start_micro_batches(
     return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
+def start_drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Starts to process everything that is there; await the query to see whether it worked."""
+    return _writer(stream, checkpoint, sink).trigger(availableNow=True).start()
+
+
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> None:
     """Processes everything that is there, batch by batch, and returns; errors of a batch are raised here."""
-    query = _writer(stream, checkpoint, sink).trigger(availableNow=True).start()
+    query = start_drain(stream, checkpoint, sink)
     try:
         query.awaitTermination()
     finally:
