@@ -153,9 +153,9 @@ def test_returns_cross_channels_unless_told_otherwise(retail):
 def test_rolling_average_counts_rows_not_days(spark):
     first = D(2000, 1, 1)
     days = [first + dt.timedelta(days=i if i < 20 else i + 100) for i in range(35)]
-    rows = [(f"{i:03}", 1, 1, 10, day, i) for i, day in enumerate(days)] + [("x", 2, 1, 10, first, 0)]
+    rows = [(i, 1, 1, 10, day, i) for i, day in enumerate(days)] + [(0, 2, 1, 10, first, 0)]
     snapshots = spark.createDataFrame(
-        rows, "inventory_sk string, item_id bigint, warehouse_id bigint, quantity_on_hand bigint, inv_date date, "
+        rows, "date_sk bigint, item_id bigint, warehouse_id bigint, quantity_on_hand bigint, inv_date date, "
         "units_sold_that_day bigint",
     )
     averaged = {(r.item_id, r.inv_date): r for r in inventory.rolling_average(snapshots).collect()}

@@ -10,7 +10,7 @@ from tillwork import functions as fn
 from tillwork.operators.lookup import lookup, spread_join
 
 # Order of the snapshots of one item and warehouse; the last two columns only settle ties.
-NEWEST_LAST = ("inv_date", "inventory_sk", "quantity_on_hand")
+NEWEST_LAST = ("inv_date", "date_sk", "quantity_on_hand")
 
 
 def item_daily_units(spine: DataFrame) -> DataFrame:
@@ -18,14 +18,21 @@ def item_daily_units(spine: DataFrame) -> DataFrame:
     return spine.groupBy("item_id", "sale_date").agg(F.sum("quantity_sold").alias("units_sold_that_day"))
 
 
-def dated_inventory(inventory: DataFrame, dates: DataFrame, items: DataFrame) -> DataFrame:
-    """Snapshots with a known date and a known item."""
+def dated_inventory(inventory: DataFrame, dates: DataFrame) -> DataFrame:
+    """Snapshots with a known date."""
     calendar = dates.select(
         F.col("date_sk").alias("_date_sk"), F.col("calendar_date").alias("inv_date"), "calendar_year", "month_of_year"
     )
+    return lookup(inventory, calendar, {"date_sk": "_date_sk"}, "inner").drop("_date_sk")
+
+
+def of_known_items(df: DataFrame, items: DataFrame) -> DataFrame:
+    """Keeps rows of known items and describes them.
+
+    Averages and ranks never mix items, so this may come last; descriptions then stay out of the shuffles.
+    """
     described = items.select(F.col("item_id").alias("_item_id"), "category", "price_tier", "item_description")
-    dated = lookup(inventory, calendar, {"date_sk": "_date_sk"}, "inner").drop("_date_sk", "date_sk")
-    return lookup(dated, described, {"item_id": "_item_id"}, "inner").drop("_item_id")
+    return lookup(df, described, {"item_id": "_item_id"}, "inner", spread_by=("warehouse_id",)).drop("_item_id")
 
 
 def with_daily_units(snapshots: DataFrame, units: DataFrame) -> DataFrame:
@@ -71,8 +78,8 @@ INVENTORY_COLUMNS = (
 
 
 def inventory_daily(inventory: DataFrame, dates: DataFrame, items: DataFrame, spine: DataFrame) -> DataFrame:
-    snapshots = with_daily_units(dated_inventory(inventory, dates, items), item_daily_units(spine))
-    return rolling_average(snapshots).select(*INVENTORY_COLUMNS)
+    snapshots = with_daily_units(dated_inventory(inventory, dates), item_daily_units(spine))
+    return of_known_items(rolling_average(snapshots), items).select(*INVENTORY_COLUMNS)
 
 
 def latest_snapshots(snapshots: DataFrame, rows: int = 1) -> DataFrame:
@@ -91,7 +98,7 @@ def latest_with_average(snapshots: DataFrame, units: DataFrame) -> DataFrame:
     """
     recent = with_daily_units(latest_snapshots(snapshots, fixed.ROLLING_ROWS), units)
     newest = F.col("recency") == 1
-    kept = ("item_description", "category", "price_tier", "inv_date", "quantity_on_hand")
+    kept = ("inv_date", "quantity_on_hand")
     return recent.groupBy("item_id", "warehouse_id").agg(
         *[F.max(F.when(newest, F.col(c))).alias(c) for c in kept],
         F.avg("units_sold_that_day").alias("avg_daily_sales_30d"),

@@ -75,7 +75,7 @@ def _rolling(w: Warehouse) -> DataFrame:
 
 
 def _latest(w: Warehouse) -> DataFrame:
-    newest = inventory.latest_snapshots(w.dated_inventory)
+    newest = inventory.of_known_items(inventory.latest_snapshots(w.dated_inventory), w.staged("item"))
     return newest.select("inventory_sk", "item_id", "warehouse_id", "inv_date", "quantity_on_hand")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwork import fixed_values as fixed
 from tillwork import functions as fn
-from tillwork.operators.inventory import latest_with_average
+from tillwork.operators.inventory import latest_with_average, of_known_items
 from tillwork.operators.lookup import lookup
 
 # Columns that a mart is clustered by when written, followed by a key that splits large equal ranges.
@@ -171,9 +171,11 @@ def returns_analysis(returns: DataFrame, sales: DataFrame, items: DataFrame) ->
 # --- inventory health -----------------------------------------------------------------------------------------------
 
 
-def inventory_health(snapshots: DataFrame, units: DataFrame, limits: fixed.Thresholds) -> DataFrame:
+def inventory_health(
+    snapshots: DataFrame, units: DataFrame, items: DataFrame, limits: fixed.Thresholds
+) -> DataFrame:
     """Latest stock per item and warehouse with the risk of running out."""
-    latest = latest_with_average(snapshots, units)
+    latest = of_known_items(latest_with_average(snapshots, units), items)
     supply = fn.safe_divide(F.col("quantity_on_hand"), F.col("avg_daily_sales_30d"))
     known = F.col("days_of_supply")
     return latest.withColumn("days_of_supply", supply).select(

@@ -80,7 +80,7 @@ class Warehouse:
 
     @cached_property
     def dated_inventory(self) -> DataFrame:
-        return inventory.dated_inventory(self.staged("inventory"), self.staged("date_dim"), self.staged("item"))
+        return inventory.dated_inventory(self.staged("inventory"), self.staged("date_dim"))
 
     @cached_property
     def item_daily_units(self) -> DataFrame:
@@ -108,7 +108,9 @@ class Warehouse:
 
     @cached_property
     def mart_inventory_health(self) -> DataFrame:
-        return marts.inventory_health(self.dated_inventory, self.item_daily_units, self.limits)
+        return marts.inventory_health(
+            self.dated_inventory, self.item_daily_units, self.staged("item"), self.limits
+        )
 
     @cached_property
     def mart_customer_ltv(self) -> DataFrame:
