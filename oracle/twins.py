@@ -216,9 +216,10 @@ TASKS = {
 }
 
 
-def _task_counts(half: int) -> str:
+def _task_counts(condition: str = "true") -> str:
+    """Rows per refresh task; ``{item}`` in the condition stands for the item column of each table."""
     per_table = " union all ".join(
-        f"select '{task}' as task_name, count(*) as n from b_{t} where {CAPTURED[t][0]} % 2 = {half}"
+        f"select '{task}' as task_name, count(*) as n from b_{t} where {condition.format(item=CAPTURED[t][0])}"
         for task, tables in TASKS.items()
         for t in tables
     )
@@ -382,21 +383,23 @@ def oracle_sql() -> dict[str, str]:
             select distinct event_sk, session_id, customer_id, event_type from s_clickstream
             qualify row_number() over (partition by event_sk order by event_type) = 1""",
         **{
-            f"append_stream_{t.removeprefix('raw_')}": doubles(f"(select * from b_{t} where {item} % 2 = 1)", *money)
+            f"append_stream_{t.removeprefix('raw_')}": doubles(f"(select *, {item} % 2 as found_by from b_{t})", *money)
             for t, (item, *money) in CAPTURED.items()
         },
         "has_data": """
             select cast(refresh_no as bigint) as refresh_no, refresh_no <> 2 as found_rows
             from range(1, 4) r(refresh_no) where (select count(*) from lineitem) > 0""",
-        "refresh_counts": _task_counts(1),
+        "refresh_counts": f"""
+            select *, 'first' as run from ({_task_counts("{item} % 2 = 0")})
+            union all select *, 'second' as run from ({_task_counts("{item} % 2 = 1")})""",
         "run_log": f"""
             select task_name, rows_processed, 'SUCCESS' as status, cast(null as varchar) as error_message
-            from ({_task_counts(0)})
+            from ({_task_counts()})
             union all select 'root_refresh_task', null, 'RUNNING', null
             union all select 'log_completion_task — pipeline complete', null, 'SUCCESS', null""",
         "failure_row": """
             select 'refresh_returns_task' as task_name, 'FAILED' as status, true as has_message
-            from (select 1 from lineitem where l_returnflag = 'R' limit 1)""",
+            where exists (select 1 from lineitem where l_returnflag = 'R')""",
         "layered_run": f"""
             select 'silver' as layer, check_name, failures from ({report(STAGING_CHECKS)})
             union all

@@ -498,7 +498,7 @@ class _Captured:
 
 def _append_stream(table: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        """Rows that the second consumption finds: those appended after the first."""
+        """All rows, with the consumption that found them: rows of even items are appended first, the others later."""
         captured = _Captured(spark, folder, (table,))
         path, schema = captured.streams[table]
         for half in (0, 1):
@@ -509,10 +509,10 @@ def _append_stream(table: str) -> Query:
                 schema,
                 f"{captured.root}/position",
                 lambda batch, number, half=half: batch.write.mode("overwrite").parquet(
-                    f"{captured.root}/new/half={half}/batch={number}"
+                    f"{captured.root}/new/found_by={half}/batch={number}"
                 ),
             )
-        return comparable(spark.read.parquet(f"{captured.root}/new/half=1").drop("batch"))
+        return comparable(spark.read.parquet(f"{captured.root}/new").drop("batch"))
 
     return run
 
@@ -526,14 +526,17 @@ def _has_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _refresh_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """New rows per task in the second of two refreshes."""
-    captured = _Captured(spark, folder).append(0)
-    captured.count("first")
-    return changes.refresh_counts(captured.append(1).count("second"))
+    """New rows per task in each of two refreshes; rows of even items are appended first, the others later."""
+    captured = _Captured(spark, folder)
+    runs = [
+        changes.refresh_counts(captured.append(half).count(name)).withColumn("run", F.lit(name))
+        for half, name in enumerate(("first", "second"))
+    ]
+    return runs[0].unionByName(runs[1])
 
 
 def _run_log(spark: SparkSession, folder: str) -> DataFrame:
-    captured = _Captured(spark, folder).append(0)
+    captured = _Captured(spark, folder).append(0).append(1)
     captured.refresh("only")
     return changes.read_log(spark, captured.log).select("task_name", "rows_processed", "status", "error_message")
 
