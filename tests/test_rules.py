@@ -217,6 +217,21 @@ def test_history_versions(spark):
     assert sorted(r.customer_id for r in at_t2.collect()) == [1, 2, 4]
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_facts_meet_the_version_of_their_time(spark, spread):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    schema = "customer_id bigint, state_code string, zip_code string, city string"
+    versions = history.first_history(spark.createDataFrame([(1, "CA", "1", "old")], schema), t1)
+    versions = history.scd2_merge(versions, spark.createDataFrame([(1, "CA", "1", "new")], schema), t2)
+    times = [dt.datetime(2023, 12, 31), t1, dt.datetime(2024, 1, 31, 23, 59, 59), t2]
+    facts = spark.createDataFrame([(1, t) for t in times] + [(2, t1), (None, t1)], "buyer bigint, at timestamp_ntz")
+    hot = [r[0] for r in spark.range(1).select(F.xxhash64(F.lit(1).cast("bigint"))).collect()] if spread else []
+    joined = history.join_as_of(facts, versions, "buyer", "at", hot=hot)
+    cities = {(r.buyer, r["at"]): r.as_of_city for r in joined.collect()}
+    assert [cities[1, t] for t in times] == [None, "old", "old", "new"]
+    assert cities[2, t1] is None and cities[None, t1] is None and len(cities) == 6
+
+
 # --- quality --------------------------------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.operators.lookup import lookup
+from tillwork.operators.lookup import lookup, spread_join
 
 # --- fixed values: key and tracked columns of the customer history, and the names of the added columns -----------
 KEY = "customer_id"
@@ -114,14 +114,17 @@ def scd2_as_of(history: DataFrame, moment: Column) -> DataFrame:
     return history.where((F.col(VALID_FROM) <= moment) & ~ended)
 
 
-def join_as_of(facts: DataFrame, history: DataFrame, key: str, moment: str) -> DataFrame:
+def join_as_of(
+    facts: DataFrame, history: DataFrame, key: str, moment: str, hot: list[int] | None = None
+) -> DataFrame:
     """Facts with the version of their customer that was valid at the time of the fact.
 
-    An equi-join on the key with the validity range as residual; a key has few versions, so nothing explodes.
+    An equi-join on the key with the validity range as residual; a key has few versions, so nothing explodes, and the
+    facts of a busy customer are spread.
     """
     versions = history.select(*[F.col(c).alias(f"as_of_{c}") for c in history.columns])
     at = F.col(moment)
     valid = (F.col(f"as_of_{VALID_FROM}") <= at) & (
         F.col(f"as_of_{VALID_TO}").isNull() | (F.col(f"as_of_{VALID_TO}") > at)
     )
-    return facts.join(versions, (F.col(key) == F.col(f"as_of_{KEY}")) & valid, "left")
+    return spread_join(facts, versions, {key: f"as_of_{KEY}"}, spread_by=(moment,), also=valid, hot=hot)

@@ -83,6 +83,7 @@ def spread_join(
     how: str = "left",
     *,
     spread_by: Sequence[str] = (),
+    also: Column | None = None,
     hot: list[int] | None = None,
     ways: int | None = None,
 ) -> DataFrame:
@@ -90,16 +91,17 @@ def spread_join(
 
     Fact rows of a hot key get one of ``ways`` salts, from a hash of ``spread_by``, and the matching dimension rows
     exist once per salt; all other rows have salt 0 on both sides. ``hot`` is a list from ``hot_keys``; when absent,
-    large facts are probed. Small facts without hot keys take the plain join.
+    large facts are probed. Small facts without hot keys take the plain join. ``also`` is a further condition.
     """
     if how not in ("left", "inner"):
         raise ValueError("spread_join keeps or filters fact rows: use left or inner")
     left_columns, right_columns = list(on), list(on.values())
+    matches = _matches(on) if also is None else _matches(on) & also
     large = input_bytes(facts) > PROBE_BYTES
     if hot is None:
         hot = hot_keys(facts, left_columns) if large and spread_by else []
     if not spread_by or not (large or hot):
-        return facts.join(dim, _matches(on), how)
+        return facts.join(dim, matches, how)
     ways = ways or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def is_hot(columns: list[str]) -> Column:
@@ -112,8 +114,8 @@ def spread_join(
     salted_dim = dim.withColumn(
         "_dim_salt", F.explode(F.when(is_hot(right_columns), every_salt).otherwise(F.array(F.lit(0))))
     )
-    condition = _matches(on) & (F.col("_salt") == F.col("_dim_salt"))
-    return salted_facts.join(salted_dim, condition, how).drop("_salt", "_dim_salt")
+    salted = matches & (F.col("_salt") == F.col("_dim_salt"))
+    return salted_facts.join(salted_dim, salted, how).drop("_salt", "_dim_salt")
 
 
 def fanout_left_join(

@@ -159,10 +159,21 @@ MART_CHECKS: tuple[Check, ...] = (
 )
 
 
+def _counted(df: DataFrame, by_row: list[Check], unique: Check | None) -> DataFrame:
+    """One row with a failure count per check, from one pass: row-level counts ride along with the groups of a key."""
+    columns = [F.count_if(check.failing()).alias(f"_{i}") for i, check in enumerate(by_row)]
+    if unique is None:
+        return df.agg(*columns)
+    repeated = F.col(unique.column).isNotNull() & (F.col("_rows") > 1)
+    groups = df.groupBy(unique.column).agg(F.count("*").alias("_rows"), *columns)
+    sums = [F.coalesce(F.sum(f"_{i}"), F.lit(0).cast("bigint")).alias(f"_{i}") for i in range(len(by_row))]
+    return groups.agg(F.count_if(repeated).alias("_unique"), *sums)
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """Number of failures per check (rows; for ``unique``, repeated values).
 
-    All row-level checks of a model share one pass over it; each ``unique`` check takes one aggregation.
+    All checks of a model share one pass over it; only a second ``unique`` column would take another.
     """
     by_model: dict[str, list[Check]] = {}
     for check in checks:
@@ -170,22 +181,14 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     parts = []
     for model, declared in by_model.items():
         by_row = [c for c in declared if c.kind != "unique"]
-        if by_row:
-            counted = models[model].agg(*[F.count_if(c.failing()).alias(c.name.replace(".", "__")) for c in by_row])
-            pairs = F.array(
-                *[
-                    F.struct(F.lit(c.name).alias("check_name"), F.col(c.name.replace(".", "__")).alias("failures"))
-                    for c in by_row
-                ]
-            )
-            parts.append(counted.select(F.inline(pairs)))
-        parts += [
-            dq_unique(models[model], c.column)
-            .agg(F.count("*").alias("failures"))
-            .select(F.lit(c.name).alias("check_name"), "failures")
-            for c in declared
-            if c.kind == "unique"
-        ]
+        keys = [c for c in declared if c.kind == "unique"]
+        passes = [(by_row, keys[0] if keys else None)] + [([], key) for key in keys[1:]]
+        for rows, key in passes:
+            counts = [F.struct(F.lit(c.name).alias("check_name"), F.col(f"_{i}").alias("failures"))
+                      for i, c in enumerate(rows)]
+            if key:
+                counts.append(F.struct(F.lit(key.name).alias("check_name"), F.col("_unique").alias("failures")))
+            parts.append(_counted(models[model], rows, key).select(F.inline(F.array(*counts))))
     return reduce(DataFrame.unionByName, parts)
 
 
