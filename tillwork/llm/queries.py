@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from tillwork.llm.bpe import op6_bpe
+from tillwork.llm.language import op3_language_id
+from tillwork.llm.quality import op5_quality
 from tillwork.llm.sharding import op8_byte_shards
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op8_byte_shards": op8_byte_shards,
 }
