@@ -18,6 +18,7 @@ SIZE = 4096  # columns that letter trigrams are hashed to
 CENTROIDS = 4  # per language
 SAMPLE = 1000  # labelled texts per language that centroids are fitted on, at most
 SLACK = 0.5  # a text is rejected below this share of the lowest cosine that a centroid's own texts have
+FULL = 400  # a text of fewer different trigrams has a lower cosine by nature: its limit falls with their root
 UNKNOWN = "und"
 LETTER = r"\p{L}"
 
@@ -36,10 +37,12 @@ class LanguageModel:
         """Of each text the language, the cosine to the nearest centroid, and whether it is too far away."""
         if not texts or not len(self.centroids):
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
-        near = self.vectors(texts) @ self.centroids.T
+        vectors = self.vectors(texts)
+        near = vectors @ self.centroids.T
         best = near.argmax(axis=1)
         score = np.clip(near[np.arange(len(texts)), best], 0, 1)
-        return [self.languages[b] for b in best], score, score < self.least[best]
+        share = np.sqrt(np.minimum((vectors > 0).sum(axis=1) / FULL, 1))
+        return [self.languages[b] for b in best], score, score < self.least[best] * share
 
 
 def lowered(text: str | None) -> bytes:
@@ -81,7 +84,8 @@ def clusters(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> LanguageModel:
     """Learns from ``labelled`` rows with a text and a language. Inverse document frequencies cover all of them; the
-    centroids come from SAMPLE texts per language, chosen by a hash of the id."""
+    centroids come from SAMPLE texts per language, chosen by a hash of the id; those that stand nearer to the mean of
+    another language are left out as mislabelled."""
     rows = labelled.select(
         F.xxhash64(id_column).alias("h"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
     ).where("text is not null and lang is not null").where(F.col("text").rlike(LETTER))
@@ -92,17 +96,33 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     keys = rows.select("h", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= SAMPLE).drop("nth")
     sample = rows.join(keys, ["h", "lang"], "left_semi")
 
-    def fit_language(part: pa.Table) -> pa.Table:
+    def vectors_of(part: pa.Table) -> np.ndarray:
         texts = sorted({lowered(t.as_py()) for t in part.column("text")})
-        vectors = np.concatenate([blank.vectors(texts[p]) for p in pieces(texts)])
+        return np.concatenate([blank.vectors(texts[p]) for p in pieces(texts)])
+
+    def packed(lang: str, centroids: np.ndarray, least: list[float]) -> pa.Table:
+        values = pa.array([c.astype("<f4").tobytes() for c in centroids], pa.binary())
+        return pa.table({"lang": [lang] * len(centroids), "centroid": values, "least": pa.array(least, pa.float64())})
+
+    def fit_mean(part: pa.Table) -> pa.Table:
+        return packed(part.column("lang")[0].as_py(), unit(vectors_of(part).mean(axis=0, keepdims=True)), [0.0])
+
+    def fit_language(part: pa.Table) -> pa.Table:
+        lang, vectors = part.column("lang")[0].as_py(), vectors_of(part)
+        nearest = (vectors @ means.T).argmax(axis=1)  # texts nearer to another language's mean are taken as mislabelled
+        own = vectors[np.array([names[i] == lang for i in nearest])]
+        vectors = own if len(own) else vectors
         centroids = clusters(vectors, CENTROIDS)
         near = vectors @ centroids.T
-        own, score = near.argmax(axis=1), near.max(axis=1)
-        least = [float(score[own == c].min()) if (own == c).any() else 0.0 for c in range(len(centroids))]
-        values = [c.astype("<f4").tobytes() for c in centroids]
-        return pa.table({"lang": [part.column("lang")[0].as_py()] * len(values), "centroid": pa.array(values, pa.binary()), "least": least})
-
-    found = sample.select("lang", "text").groupBy("lang").applyInArrow(fit_language, "lang string, centroid binary, least double")
+        best, score = near.argmax(axis=1), near.max(axis=1)
+        return packed(lang, centroids, [float(score[best == c].min(initial=1)) for c in range(len(centroids))])
+
+    shape = "lang string, centroid binary, least double"
+    chosen = sample.select("lang", "text")
+    middle = sorted(chosen.groupBy("lang").applyInArrow(fit_mean, shape).collect(), key=lambda r: r.lang)
+    names = [r.lang for r in middle]
+    means = np.array([np.frombuffer(r.centroid, dtype="<f4") for r in middle])
+    found = chosen.groupBy("lang").applyInArrow(fit_language, shape)
     fitted = sorted(found.collect(), key=lambda r: (r.lang, r.centroid))  # CENTROIDS rows a language
     if not fitted:
         return blank

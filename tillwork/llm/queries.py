@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillwork.llm.bpe import op6_bpe
 from tillwork.llm.language import op3_language_id
+from tillwork.llm.licenses import op9_licenses, op9_sql
 from tillwork.llm.quality import op5_quality
 from tillwork.llm.sharding import op8_byte_shards
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op8_byte_shards": op8_byte_shards,
+    "op9_licenses": op9_licenses,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_licenses": op9_sql()}
