@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillwork.llm.bpe import op6_bpe
+from tillwork.llm.contamination import op7_decontamination
 from tillwork.llm.language import op3_language_id
 from tillwork.llm.licenses import op9_licenses, op9_sql
 from tillwork.llm.quality import op5_quality
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op7_decontamination": op7_decontamination,
     "op8_byte_shards": op8_byte_shards,
     "op9_licenses": op9_licenses,
 }
