@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from tillwork.llm.bpe import op6_bpe
 from tillwork.llm.contamination import op7_decontamination
+from tillwork.llm.embeddings import op1_lattice
 from tillwork.llm.language import op3_language_id
 from tillwork.llm.licenses import op9_licenses, op9_sql
 from tillwork.llm.quality import op5_quality
 from tillwork.llm.sharding import op8_byte_shards
 
 QUERIES = {
+    "op1_lattice": op1_lattice,
     "op3_language_id": op3_language_id,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
