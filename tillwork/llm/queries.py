@@ -7,6 +7,7 @@ from tillwork.llm.contamination import op7_decontamination
 from tillwork.llm.embeddings import op1_lattice
 from tillwork.llm.language import op3_language_id
 from tillwork.llm.licenses import op9_licenses, op9_sql
+from tillwork.llm.neardup import op10_minhash
 from tillwork.llm.quality import op5_quality
 from tillwork.llm.sharding import op8_byte_shards
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_byte_shards": op8_byte_shards,
     "op9_licenses": op9_licenses,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE: dict[str, str] = {"op9_licenses": op9_sql()}
