@@ -9,11 +9,13 @@ from tillwork.llm.language import op3_language_id
 from tillwork.llm.licenses import op9_licenses, op9_sql
 from tillwork.llm.neardup import op10_minhash
 from tillwork.llm.quality import op5_quality
+from tillwork.llm.repeats import op4_repeats
 from tillwork.llm.sharding import op8_byte_shards
 
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op3_language_id": op3_language_id,
+    "op4_repeats": op4_repeats,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
