@@ -11,9 +11,11 @@ from tillwork.llm.neardup import op10_minhash
 from tillwork.llm.quality import op5_quality
 from tillwork.llm.repeats import op4_repeats
 from tillwork.llm.sharding import op8_byte_shards
+from tillwork.llm.toolcalls import OP2_SQL, op2_tool_calls
 
 QUERIES = {
     "op1_lattice": op1_lattice,
+    "op2_tool_calls": op2_tool_calls,
     "op3_language_id": op3_language_id,
     "op4_repeats": op4_repeats,
     "op5_quality": op5_quality,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_minhash": op10_minhash,
 }
 
-ORACLE: dict[str, str] = {"op9_licenses": op9_sql()}
+ORACLE: dict[str, str] = {"op2_tool_calls": OP2_SQL, "op9_licenses": op9_sql()}

@@ -321,10 +321,22 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return found
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, id_column: str = "doc_id", text_column: str = "text", hot_bytes: int = HOT_BYTES) -> DataFrame:
+def whole_characters(data: bytes, start: int, end: int) -> tuple[int, int]:
+    """A span without the parts of characters at its ends."""
+    while start < end and data[start] & 0xC0 == 0x80:
+        start += 1
+    while start < end < len(data) and data[end] & 0xC0 == 0x80:
+        end -= 1
+    return start, end
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, keep_first: bool = True, characters: bool = False,
+    id_column: str = "doc_id", text_column: str = "text", hot_bytes: int = HOT_BYTES, keep: list[str] | None = None,
+) -> DataFrame:
     """(rid, doc_id, n_bytes, spans, kept) of every row: ``spans`` (start, end in UTF-8 bytes) are removed, ``kept`` are
     the remaining bytes. With ``keep_first`` the first place of a repeated string stays, in the order of doc_id and then
-    of rows; without it every place goes.
+    of rows; without it every place goes. With ``characters`` a span ends where characters do, so ``kept`` is text.
 
     A string can repeat only where the smallest hash of its k-grams occurs again. So texts are cut, in one pass, into
     stretches of strings with one minimum, and only stretches whose minimum occurs twice go on; those with one minimum
@@ -335,8 +347,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
 
     Null and empty texts have no bytes and no spans. Null ids come first. Repeated rows are copies: all but the first
     go (all go without ``keep_first``) if they have ``length`` bytes. An empty table gives no rows; other columns are
-    not read. ``docs`` has to be a plain read of files."""
-    rows = with_row_key(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")))
+    not read, but those named in ``keep`` are handed on. ``docs`` has to be a plain read of files."""
+    extra = keep or []
+    rows = with_row_key(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *extra))
     _, spans = repeated_spans(rows, length, keep_first, hot_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,6 +361,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
                 for text, found in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                     data, out, last = (text or "").encode("utf-8"), [], 0
                     cuts = merged(found)
+                    if characters:
+                        cuts = [(s, e) for s, e in (whole_characters(data, *c) for c in cuts) if s < e]
                     for s, e in cuts:
                         out.append(data[last:s])
                         last = e
@@ -355,13 +370,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
                     kept.append(b"".join([*out, data[last:]]))
                     gone.append([{"s": s, "e": e} for s, e in cuts])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.binary())],
-                    names=["rid", "doc_id", "n_bytes", "spans", "kept"],
+                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.binary()), *part.columns[4:]],
+                    names=["rid", "doc_id", "n_bytes", "spans", "kept", *extra],
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    joined = rows.join(spans, "rid", "left").select("rid", "doc_id", "text", "spans")
-    return joined.mapInArrow(run, f"rid long, doc_id {kind}, n_bytes long, spans {SPANS}, kept binary")
+    joined = rows.join(spans, "rid", "left").select("rid", "doc_id", "text", "spans", *extra)
+    shape = f"rid long, doc_id {kind}, n_bytes long, spans {SPANS}, kept binary"
+    return joined.mapInArrow(run, ", ".join([shape, *[f"{c} {rows.schema[c].dataType.simpleString()}" for c in extra]]))
 
 
 def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
