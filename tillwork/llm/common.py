@@ -82,6 +82,7 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     the logarithm of the longest chain. A node with very many neighbours costs one partial aggregation and a join that
     adaptive execution may split."""
     edges = settle(links.where("a <> b").selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct(), purpose)
+    before = link_sums(edges)
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -92,18 +93,15 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         small = large.join(least, "a").selectExpr("b as a", "m as b").where("a <> b")
         step = small.union(least.selectExpr("a", "m as b")).distinct()
         after = settle(step, purpose)
-        if same_rows(edges, after):
+        now = link_sums(after)
+        if now == before:
             return after.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
-        edges = after
+        edges, before = after, now
 
 
-def same_rows(left: DataFrame, right: DataFrame) -> bool:
-    """Whether two sets of links agree, by counts and sums of hashes."""
-
-    def sums(df: DataFrame):
-        h = F.xxhash64("a", "b").cast("decimal(38,0)")
-        return tuple(df.agg(F.count("*"), F.sum(h), F.bit_xor(F.xxhash64("b", "a"))).first())
-
-    return sums(left) == sums(right)
+def link_sums(df: DataFrame) -> tuple:
+    """A count and sums of hashes, by which two sets of links are told apart."""
+    h = F.xxhash64("a", "b").cast("decimal(38,0)")
+    return tuple(df.agg(F.count("*"), F.sum(h), F.bit_xor(F.xxhash64("b", "a"))).first())
