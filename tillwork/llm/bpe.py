@@ -15,8 +15,8 @@ from tillwork.llm.common import table
 
 CHUNK = 1024  # mean bytes between cuts
 LEAST, MOST = 256, 8192  # bytes of a chunk
-CHUNK_BYTES = 16_000_000  # of one generation of remembered chunks in a worker
-WORDS = 300_000  # of one generation of remembered words
+CHUNK_BYTES = 6_000_000  # of one generation of remembered chunks in a worker
+WORDS = 120_000  # of one generation of remembered words
 LONG_WORD = 100  # longer words are not remembered
 SIMPLE_WORD = re.compile(rb"([A-Za-z]+)([!-&(-/:;=?@\[-`{}~]*)").fullmatch  # letters, then marks without ' < | >
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
@@ -196,8 +196,8 @@ def encode_documents(
         coder = ChunkCoder(path)
         schema = pa.schema([("doc_id", kind), ("ids", pa.binary()), ("decoded", pa.string())])
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):  # ids and decoded text are several times the text
+                part = batch.slice(at, 64)
                 ids = [coder.encode(t.as_py()) for t in part.column(1)]
                 decoded = pa.array([coder.decode(i) for i in ids], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), decoded], schema=schema)
