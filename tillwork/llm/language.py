@@ -93,8 +93,10 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
     blank = LanguageModel(idf, np.zeros((0, SIZE), dtype=np.float32), [], np.zeros(0))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))  # pruned to SAMPLE rows inside each task
-    keys = rows.select("h", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= SAMPLE).drop("nth")
-    sample = rows.join(keys, ["h", "lang"], "left_semi")
+    keys = rows.select("h", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= SAMPLE)
+    limits = keys.groupBy("lang").agg(F.max("h").alias("limit")).collect()  # a number for each language
+    limit = F.create_map(*[F.lit(x) for r in limits for x in (r.lang, r.limit)])[F.col("lang")] if limits else F.lit(None)
+    sample = rows.where(F.col("h") <= limit)
 
     def vectors_of(part: pa.Table) -> np.ndarray:
         texts = sorted({lowered(t.as_py()) for t in part.column("text")})
