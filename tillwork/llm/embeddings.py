@@ -69,8 +69,8 @@ def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(rows.flatten(), dtype=np.float64).reshape(len(rows), -1)
 
 
-def cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each vector once for each cell it stands in, with all its cells."""
+def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of each vector, table by table."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
@@ -79,14 +79,8 @@ def cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = part.filter(pa.array(lengths == dimensions))
                 values = as_matrix(own.column(2))
                 cells = lattice_cells(values / np.linalg.norm(values, axis=1, keepdims=True))
-                n = TABLES * PROBES
-                take = pa.array(np.repeat(np.arange(own.num_rows), n))
-                every = pa.FixedSizeListArray.from_arrays(pa.array(cells.reshape(-1)), n).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.tile(np.repeat(np.arange(TABLES, dtype=np.int32), PROBES), own.num_rows)),
-                     pa.array(cells.reshape(-1)), *[c.take(take) for c in own.columns], every.take(take)],
-                    names=["tab", "cell", "cls", "label", "embedding", "n", "cells"],
-                )
+                every = pa.FixedSizeListArray.from_arrays(pa.array(cells.reshape(-1)), TABLES * PROBES)
+                yield pa.RecordBatch.from_arrays([*own.columns[:2], every.cast(pa.list_(pa.int64()))], names=["cls", "label", "cells"])
 
 
 def index_pairs(starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -173,7 +167,7 @@ def link_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
 
     Vectors that are null, empty, zero, or hold null or non-finite components, and rows without a label, link with
     nothing; nor do vectors of different lengths. A row whose id is null links like others and is named by no component;
-    rows with equal ids are rows of their own. An empty table gives no rows; other columns are not read."""
+    rows with equal ids are rows of their own. Only vectors that share a cell are moved there. An empty table gives no rows; other columns are not read."""
     rows = with_row_key(vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("embedding"), F.col(label_column).alias("label")))
     fit = (
         "label is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or"
@@ -185,13 +179,15 @@ def link_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     classes = settle(
         usable.groupBy(*own).agg(F.min("rid").alias("cls"), F.min("vec_id").alias("least"), F.count("*").alias("n")), "vector-classes"
     )
-    kind = "array<float>" if dict(vectors.dtypes)[vector_column] == "array<float>" else "array<double>"
-    cells = classes.select("cls", "label", F.col("embedding").cast(kind).alias("embedding"), "n").mapInArrow(
-        cell_rows, f"tab int, cell long, cls long, label string, embedding {kind}, n long, cells array<long>"
+    cells = settle(classes.select("cls", "label", "embedding").mapInArrow(cells_of, "cls long, label string, cells array<long>"), "vector-cells")
+    places = cells.select("cls", "label", F.posexplode("cells").alias("nth", "cell")).withColumn("tab", F.expr(f"int(nth div {PROBES})")).drop("nth")
+    size = places.groupBy("label", "tab", "cell").agg(F.count("*").alias("size")).where("size > 1")
+    blocks = F.expr(f"int(ceil(size / {FULL_CELL}D))").alias("blocks")
+    shared = places.join(size, ["label", "tab", "cell"]).groupBy("cls").agg(  # at most TABLES * PROBES places
+        F.collect_list(F.struct("tab", "cell", blocks)).alias("places")
     )
-    cells = settle(cells, "vector-cells")
-    size = cells.groupBy("label", "tab", "cell").agg(F.count("*").alias("size")).where("size > 1")
-    placed = cells.join(size, ["label", "tab", "cell"]).withColumn("blocks", F.expr(f"int(ceil(size / {FULL_CELL}D))"))
+    placed = classes.join(shared, "cls").join(cells.select("cls", "cells"), "cls")
+    placed = placed.select("cls", "label", "n", "embedding", "cells", F.explode("places").alias("place")).select("*", "place.*")
     placed = placed.withColumn("block", F.expr("int(pmod(xxhash64(cls), blocks))"))
     met = placed.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "label", "tab", "cell", "block", "cls", "n", "embedding", "cells",
