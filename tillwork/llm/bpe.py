@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import table
+from tillwork.llm.common import small_batches, table
 
 CHUNK = 1024  # mean bytes between cuts
 LEAST, MOST = 256, 8192  # bytes of a chunk
@@ -191,6 +191,7 @@ def encode_documents(
     Null texts count as empty and give no ids and an empty text. Repeated rows and null ids are kept; an empty table
     gives no rows; other columns are not read."""
     path = tokenizer or default_tokenizer()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ChunkCoder(path)

@@ -17,6 +17,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+ARROW_ROWS = 500  # rows that a Python worker gets at a time
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of few rows: Spark's default of 10,000 would keep tens of MB for each task,
+    several times over, and hundreds where texts are long. The setting stays for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it back: what follows survives lost executors and never runs
     the plan behind ``df`` again."""

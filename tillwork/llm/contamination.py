@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from tillwork.llm.common import table
+from tillwork.llm.common import small_batches, table
 from tillwork.llm.features import pieces
 
 K1, B = 1.2, 0.75
@@ -181,6 +181,7 @@ def with_leaks(docs: DataFrame, items: DataFrame, text_column: str = "text", id_
     with the smallest id. Repeated rows are judged each for itself; empty tables give no rows or no hits."""
     from pyspark.sql.pandas.types import to_arrow_type
 
+    small_batches(docs.sparkSession)
     for part in slices(items, id_column, item_text):
         sent = docs.sparkSession.sparkContext.broadcast(part)  # SLICE_BYTES at most
         last = name in docs.columns

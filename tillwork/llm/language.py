@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import has_learning_row, table
+from tillwork.llm.common import has_learning_row, small_batches, table
 from tillwork.llm.features import ngram_counts, pieces, unit
 
 SIZE = 4096  # columns that letter trigrams are hashed to
@@ -86,6 +86,7 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """Learns from ``labelled`` rows with a text and a language. Inverse document frequencies cover all of them; the
     centroids come from SAMPLE texts per language, chosen by a hash of the id; those that stand nearer to the mean of
     another language are left out as mislabelled."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(
         F.xxhash64(id_column).alias("h"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
     ).where("text is not null and lang is not null").where(F.col("text").rlike(LETTER))
@@ -147,6 +148,7 @@ def annotate(docs: DataFrame, model: LanguageModel, text_column: str) -> DataFra
     """``docs`` with lang_pred, score and rejected behind its own columns."""
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # a few hundred KB, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

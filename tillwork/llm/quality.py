@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import has_learning_row, table
+from tillwork.llm.common import has_learning_row, small_batches, table
 from tillwork.llm.features import ngram_counts, pieces, unit
 
 SAMPLE = 4000  # labelled documents that are fitted on and vote, at most
@@ -66,6 +66,7 @@ class QualityModel:
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> QualityModel:
     """Learns from at most SAMPLE labelled documents, chosen by a hash of the id; several labels of one id are averaged.
     The sample's columns, a few tens of MB whatever the input, are decomposed on the driver."""
+    small_batches(docs.sparkSession)
     ids = labels.select(F.col(id_column).alias("k"), F.col(label_column).cast("double").alias("y")).where("k is not null and y is not null")
     chosen = ids.groupBy("k").agg(F.avg("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
     texts = docs.select(F.col(id_column).alias("k"), F.col(text_column).alias("text")).where("k is not null and text is not null")
@@ -104,6 +105,7 @@ def score_quality(docs: DataFrame, model: QualityModel, id_column: str = "doc_id
     Without labelled documents every score is 0.5. Repeated rows and null ids are kept; an empty table gives no rows;
     other columns are not read."""
     source = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # about 2 MB at most, fixed by SAMPLE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import grouped, settle, starts_of, table, with_row_key
+from tillwork.llm.common import grouped, settle, small_batches, starts_of, table, with_row_key
 from tillwork.llm.features import pieces
 from tillwork.llm.words import INVERSE, PRIME, mixed, powers
 
@@ -348,6 +348,7 @@ def remove_repeats(
     Null and empty texts have no bytes and no spans. Null ids come first. Repeated rows are copies: all but the first
     go (all go without ``keep_first``) if they have ``length`` bytes. An empty table gives no rows; other columns are
     not read, but those named in ``keep`` are handed on. ``docs`` has to be a plain read of files."""
+    small_batches(docs.sparkSession)
     extra = keep or []
     rows = with_row_key(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *extra))
     _, spans = repeated_spans(rows, length, keep_first, hot_bytes)
