@@ -434,6 +434,7 @@ def oracle_sql() -> dict[str, str]:
         "ndjson_read": "select * from untidy",
         "json_extract_cast": "select * from untidy_good",
         "json_rejects": "select * from untidy_bad",
+        "incremental_ingest_rejects": "select * from untidy_bad",
     }
     twins |= {name: compose(sql, UNTIDY) for name, sql in untidy.items()}
     return twins

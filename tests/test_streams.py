@@ -72,7 +72,7 @@ def test_failed_write_is_repeated_and_nothing_is_doubled(spark, tmp_path):
 def test_long_running_query_flushes_by_time(spark, tmp_path):
     landing, table = tmp_path / "in", str(tmp_path / "table")
     land(landing, "a.ndjson", [GOOD])
-    stream = clicks.parse_clickstream(clicks.stream_ndjson(spark, str(landing), maxFilesPerTrigger=1))
+    stream = clicks.stream_ndjson(spark, str(landing), maxFilesPerTrigger=1)
     query = ingest.start_micro_batches(stream, table, str(tmp_path / "position"), "0", seconds=1)
     try:
         query.processAllAvailable()
@@ -81,6 +81,14 @@ def test_long_running_query_flushes_by_time(spark, tmp_path):
     assert ingest.read_ingested(spark, table).count() == 1
 
 
+def test_rejects_stay_beside_the_table(spark, tmp_path):
+    landing, table = tmp_path / "in", str(tmp_path / "table")
+    land(landing, "a.ndjson", [GOOD, "{broken"])
+    ingest.ingest_new(spark, str(landing), table, str(tmp_path / "position"))
+    assert ingest.read_ingested(spark, table).count() == 1
+    assert ingest.read_rejects(spark, table).count() == 1
+
+
 def test_refresh_logs_counts_once(spark, tmp_path):
     schema = spark.range(1).schema
     tables = {name: (str(tmp_path / name), schema) for name in changes.CAPTURED}

@@ -93,7 +93,7 @@ def stockout_flag(days_of_supply: Column, limits: fixed.Thresholds) -> Column:
     """No known supply counts as the highest risk."""
     high, medium, low = fixed.RISK_LEVELS
     return (
-        F.when(F.coalesce(days_of_supply, F.lit(float("-inf"))) < limits.stockout_high_days, high)
+        F.when(days_of_supply.isNull() | (days_of_supply < limits.stockout_high_days), high)
         .when(days_of_supply < limits.stockout_medium_days, medium)
         .otherwise(low)
     )

@@ -55,7 +55,7 @@ def _opened(rows: DataFrame, key: str, at: Column) -> DataFrame:
 
 
 def _instant(as_of: dt.datetime) -> Column:
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def first_history(incoming: DataFrame, as_of: dt.datetime, key: str = KEY) -> DataFrame:

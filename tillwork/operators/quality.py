@@ -49,7 +49,7 @@ def dq_between(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
 
 def dq_freshness(df: DataFrame, column: str, as_of: dt.datetime) -> DataFrame:
     """Age of the newest row in hours, and whether that is a pass, a warning or an error. No rows is an error."""
-    now = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     age = F.timestamp_diff("SECOND", F.col("newest"), now) / 3600
     status = (
         F.when(age <= fixed.FRESH_WARN_HOURS, "pass").when(age <= fixed.FRESH_ERROR_HOURS, "warn").otherwise("error")

@@ -411,6 +411,13 @@ def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.select(*TYPED_COLUMNS, F.col("batch").cast("bigint").alias("batch"))
 
 
+def _incremental_ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load of untidy files keeps beside the table."""
+    state = shared_folder(spark, "ingest-rejects")
+    ingest.ingest_new(spark, _untidy_files(spark, folder), f"{state}/table", f"{state}/position")
+    return ingest.read_rejects(spark, f"{state}/table").select(*TYPED_COLUMNS)
+
+
 def _micro_batch(spark: SparkSession, folder: str) -> DataFrame:
     """All events, loaded in batches of one file each."""
     state = shared_folder(spark, "micro")
@@ -462,6 +469,7 @@ CLICKSTREAM: dict[str, Query] = {
     "ndjson_sink": _ndjson_sink,
     "landing_zone": _landing_zone,
     "incremental_ingest": _incremental_ingest,
+    "incremental_ingest_rejects": _incremental_ingest_rejects,
     "micro_batch": _micro_batch,
     "commit_after_write": _commit_after_write,
     "kafka_decode": _kafka_decode,

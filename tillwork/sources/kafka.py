@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.fixed_values import BATCH_MESSAGES
+from tillwork.fixed_values import BATCH_MESSAGES, FLUSH_SECONDS
 from tillwork.sources.clickstream import as_messages, decode_json
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, *, group: str, per_trigger: int | None = BATCH_MESSAGES
+    spark: SparkSession, servers: str, topic: str, *, group: str, enough: int = BATCH_MESSAGES, seconds: int = FLUSH_SECONDS
 ) -> DataFrame:
     """Events of a topic as text fields, from the earliest message on.
 
-    Progress is kept in the checkpoint of the query, not in the consumer group. ``per_trigger`` limits a micro-batch;
-    raise it, or pass None for no limit, where the topic is busy.
+    A micro-batch starts as soon as ``enough`` messages wait or ``seconds`` have passed, and takes all that wait.
+    Progress is kept in the checkpoint of the query, not in the consumer group.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -22,9 +22,9 @@ def read_topic(
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("groupIdPrefix", group)
+        .option("minOffsetsPerTrigger", enough)
+        .option("maxTriggerDelay", f"{seconds}s")
     )
-    if per_trigger is not None:
-        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
     return decode_json(reader.load())
 
 

@@ -153,6 +153,6 @@ def refresh(
         step = LAST_TASK
         append_log(spark, log, LAST_TASK, SUCCESS)
     except Exception as problem:
-        append_log(spark, log, step, FAILED, error=str(problem)[:2000])
+        append_log(spark, log, step, FAILED, error=str(problem))
         raise
     return True

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tillwork.fixed_values import FLUSH_SECONDS
-from tillwork.sources.clickstream import parse_clickstream, stream_ndjson
+from tillwork.sources.clickstream import parse_clickstream, rejected_clickstream, stream_ndjson
 
 
 def save_batch(table: str, batch: DataFrame, batch_id: int, load: str) -> None:
@@ -21,6 +21,18 @@ def save_batch(table: str, batch: DataFrame, batch_id: int, load: str) -> None:
     batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/load={load}/batch={batch_id}")
 
 
+def rejects_of(table: str) -> str:
+    """The folder beside a landing table that keeps the events which it did not take."""
+    return f"{table.rstrip('/')}_rejects"
+
+
+def save_events(table: str, text: DataFrame, batch_id: int, load: str) -> None:
+    """Writes the events of a batch of text fields, and those that are broken or incomplete beside them. Both are
+    written before the position moves, so accepted and rejected events together are all that arrived."""
+    save_batch(table, parse_clickstream(text), batch_id, load)
+    save_batch(rejects_of(table), rejected_clickstream(text), batch_id, load)
+
+
 def _writer(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
 
@@ -28,11 +40,12 @@ def _writer(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int],
 def start_micro_batches(
     stream: DataFrame, table: str, checkpoint: str, load: str, seconds: int = FLUSH_SECONDS
 ) -> StreamingQuery:
-    """Long-running query: a micro-batch at most every ``seconds``; limits per batch belong to the source.
+    """Long-running query over text events: a micro-batch at most every ``seconds``, with its rejects beside the table;
+    limits per batch belong to the source.
 
     Progress is committed to the checkpoint only after the batch was written, so a failed write is repeated.
     """
-    writer = _writer(stream, checkpoint, lambda batch, number: save_batch(table, batch, number, load))
+    writer = _writer(stream, checkpoint, lambda batch, number: save_events(table, batch, number, load))
     return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
@@ -55,9 +68,12 @@ def ingest_new(
 ) -> None:
     """Loads the files that are new since the last call with this checkpoint into the landing table."""
     options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
-    # Batches are written in subfolders, and broken lines are left for rejected_clickstream.
-    text = stream_ndjson(spark, landing, recursiveFileLookup="true", **options)
-    drain(parse_clickstream(text), checkpoint, lambda batch, number: save_batch(table, batch, number, load))
+    text = stream_ndjson(spark, landing, recursiveFileLookup="true", **options)  # batches are written in subfolders
+    drain(text, checkpoint, lambda batch, number: save_events(table, batch, number, load))
+
+
+def read_rejects(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(rejects_of(table)).drop("load", "batch")
 
 
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:
