@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE = 2_000_000  # bytes of text that are counted at a time
+PIECE = 500_000  # bytes of text that are counted at a time; numpy needs some 70 times as much for them
 
 
 def _codes(kind: str) -> np.ndarray:
