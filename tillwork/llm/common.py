@@ -83,13 +83,17 @@ def starts_of(*columns: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(new) + 1, [n]))
 
 
+LINKS_A_FILE = 500_000
+
+
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     """(node, component) for all nodes of the undirected ``links`` (a, b); a component is named by its smallest node.
 
     Alternates two steps until nothing changes. First every node hands the smallest node it knows to its larger
     neighbours, then to its smaller ones. Each round is written to the shared folder; the number of rounds grows with
     the logarithm of the longest chain. A node with very many neighbours costs one partial aggregation and a join that
-    adaptive execution may split."""
+    adaptive execution may split. Rounds are written in files of up to LINKS_A_FILE links, so that few links don't cost
+    a task for every shuffle partition each time."""
     edges = settle(links.where("a <> b").selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct(), purpose)
     before = link_sums(edges)
     while True:
@@ -101,7 +105,8 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").selectExpr("b as a", "m as b").where("a <> b")
         step = small.union(least.selectExpr("a", "m as b")).distinct()
-        after = settle(step, purpose)
+        files = max(links.sparkSession.sparkContext.defaultParallelism, -(-before[0] // LINKS_A_FILE))
+        after = settle(step.coalesce(files), purpose)
         now = link_sums(after)
         if now == before:
             return after.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
