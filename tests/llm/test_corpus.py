@@ -175,6 +175,48 @@ def test_near_duplicates(spark, folder, odd, none, monkeypatch):
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_long_repetitive_texts(stored):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    texts = []
+    for n in range(60):
+        line, times, own = [word() for _ in range(10)], (40, 60, 100, 200)[n % 4], (36, 70, 100, 200)[n % 4]
+        texts += [" ".join(line * times + [word() for _ in range(own)]) for _ in range(2)]  # the line carries the weight
+        texts += [" ".join(line * (times // 2) + [word() for _ in range(5 * times)])]
+    bags = []
+    for t in texts:
+        w = t.split()
+        bags.append(collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)))
+    want = {i: i for i in range(len(texts))}
+    for b in range(1, len(bags), 3):
+        both = sum((bags[b] & bags[b - 1]).values())
+        assert 0.8 <= both / (bags[b] | bags[b - 1]).total() <= 0.9
+        want[b] = b - 1
+    assert all((bags[a] & bags[b]).total() < 0.8 * (bags[a] | bags[b]).total() for b in range(len(bags)) for a in range(b) if want[b] != a)
+    docs = stored(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == want
+
+
+def test_bands_of_uneven_frequencies():
+    """Shared shingles that weigh more or less than the others, in texts drawn from bins."""
+    rng = np.random.default_rng(6)
+    low = float(neardup.inverse_frequency(1.0))
+    for shared, other in ((neardup.PLAIN, low), (low, neardup.PLAIN)):
+        found = 0
+        for n in range(200):
+            keys = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+            a = 140 + n
+            own = int(0.24 * a * shared / other / 2)
+            bands = []
+            for extra in (keys[a : a + own], keys[a + own : a + 2 * own]):
+                values = np.concatenate((keys[:a], extra))
+                order = np.argsort(values)
+                frequency = np.concatenate((np.full(a, shared), np.full(own, other)))[order]
+                bands.append(set(neardup.bands_of(values[order], np.ones(a + own, dtype=np.int64), frequency)))
+            found += bool(bands[0] & bands[1])
+        assert found >= 199
+
+
 def removed(texts, length, keep_first):
     counts = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     seen, out = set(), []
