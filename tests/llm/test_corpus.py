@@ -271,6 +271,22 @@ def test_licenses_of_odd_rows(spark, odd, none):
     assert row.labels == "cc-by,lgpl-3,mit"
 
 
+def test_every_license_rule_fires_on_its_own_words(spark):
+    rules = licenses.signature_rules()
+    texts = []
+    for n, r in enumerate(rules):
+        for spelling in "sc":
+            plain = r.pattern.replace("[sc]", spelling).replace("[234]", "2")
+            while "(?:" in plain:  # optional words left out, else the first choice
+                plain = re.sub(r"\(\?:([^()|]*)[^()]*\)(\??)", lambda m: "" if m[2] else m[1], plain)
+            texts.append((2 * n + "sc".index(spelling), " ".join(plain.split())))
+    rows = licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    found = {r.doc_id: {(d.rank, d.label, d.base) for d in r.detections} for r in rows}
+    assert [(rules[i // 2].pattern, t) for i, t in texts if (rules[i // 2].rank, rules[i // 2].label, rules[i // 2].base) not in found[i]] == []
+    row = licenses.license_summary(licenses.scan_licenses(spark.createDataFrame([(1, "Released under the Unlicense.")], "doc_id long, text string"))).first()
+    assert (row.labels, row.score) == ("unlicense", 0.8)
+
+
 def test_tool_calls(spark):
     calls = [("a", 1, 1, "search", '{"words": 2, "text": "x"}', None), ("b", 1, 2, "search", '{"words": "2"}', "a"), ("b", 1, 2, "search", '{"words": "2"}', "a"),
              ("c", 1, 3, "other", "{", "b"), ("d", 1, 4, "count", '{"words": 1, "z": {"b": 1, "a": 2}}', "e"), ("e", 1, 5, "count", None, "d"), (None, 1, 6, "count", "{}", None)]

@@ -130,14 +130,15 @@ def rules_literal(rules: list[Rule]) -> str:
 
 
 def gate_words(rules: list[Rule]) -> list[str]:
-    """Words of which a text needs one: `license` or `licence` for rules that always hold it, else the keyword. (A
-    keyword like `mit` alone is an everyday word elsewhere.)"""
+    """Words of which a text needs one: `license` or `licence` for rules that always hold one of them as a whole word,
+    else the keyword. (A keyword like `mit` alone is an everyday word elsewhere.)"""
     gates: set[str] = set()
     for r in rules:
         always = r.pattern
         while (outside := re.sub(r"\(\?:[^()]*\)\??", "", always)) != always:  # what stands in no group
             always = outside
-        gates |= {"license", "licence"} if "licen" in always else {r.keyword}
+        whole = {"license", "licence", "licen[sc]e"} & set(always.split())
+        gates |= {"license", "licence"} if whole else {r.keyword}
     return sorted(gates)
 
 
