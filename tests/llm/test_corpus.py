@@ -132,6 +132,24 @@ def test_contamination(spark, folder, odd, none):
     assert [(r.doc_id, r.item_id) for r in contamination.find_leaks(held, long_items).collect()] == [(5, 1)]
 
 
+def test_contamination_of_edited_items_and_slices(spark, folder, monkeypatch):
+    question = [f"ask{i}" for i in range(30)]
+    short = spark.createDataFrame([(1, " ".join(question) + "? one two three four.")], "item_id long, text string")
+    question[12] = "other"
+    held = spark.createDataFrame([(5, " ".join(question) + "? one two other four.")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in contamination.find_leaks(held, short).collect()] == [(5, 1)]
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.createDataFrame([(r.item_id, r.text) for r in items.collect()], "doc_id long, text string")
+    found = contamination.find_leaks(docs, items).collect()
+    monkeypatch.setattr(contamination, "SLICE_BYTES", 3000)
+    known = [k for _, k in contamination.slices(items, "item_id", "text")]
+    whole = contamination.statistics_of([t for (t,) in items.select("text").distinct().collect()])
+    assert len(known) > 1 and all((k.items, k.words) == (whole.items, whole.words) for k in known)
+    assert all(whole.holding[w] == n for k in known for w, n in k.holding.items())
+    cut = contamination.find_leaks(docs, items).collect()
+    assert {(r.doc_id, r.item_id, r.passages, round(r.score, 9)) for r in found} == {(r.doc_id, r.item_id, r.passages, round(r.score, 9)) for r in cut}
+
+
 def test_vectors(spark, stored):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((30, 16))

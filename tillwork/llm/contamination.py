@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from tillwork.llm.features import pieces
 K1, B = 1.2, 0.75
 SHORTEST = 64  # words of half a passage, for items up to that length; longer items get passages twice as long, and so on
 BLOCK = 8  # test items of a block, whose highest impacts bound its scores
-SCORE = 0.6  # of what the item itself would score
+SCORE = 0.4  # of what the item itself would score; below OVERLAP, as the half that is verified may be the one of common words
 GRAM = 5  # words of the n-grams that are verified
 OVERLAP = 0.5  # of the n-grams of the question, and of the answer
 NEARLY_ALL = 0.8  # of all n-grams, where one of the two parts is missing
@@ -43,17 +44,39 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return (words_of(text), []) if len(parts) < 2 else (words_of(" ".join(parts[:-1])), words_of(parts[-1]))
 
 
+def tolerant_grams(words: list[str]) -> set[tuple[str, ...]]:
+    """N-grams of up to a third of a short text, so that one other word does not change all of them."""
+    n = max(1, min(GRAM, len(words) // 3))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """Of all test items that have words: their number, their words, and how many items hold each word asked for."""
+
+    items: int
+    words: int
+    holding: dict[str, int]
+
+    def idf(self, word: str) -> float:
+        return math.log(1 + (self.items - self.holding[word] + 0.5) / (self.holding[word] + 0.5))
+
+
+def statistics_of(texts: list[str]) -> Statistics:
+    bags = [words_of(t) for t in texts]
+    return Statistics(sum(map(bool, bags)), sum(map(len, bags)), Counter(w for b in bags for w in set(b)))
+
+
 class BlockMaxIndex:
     """An inverted index of test items of similar length. Impacts are BM25 weights as a share of what the item scores
     itself, so one threshold holds for all items. Items stand in blocks; a term keeps the highest impact in each."""
 
-    def __init__(self, items: list[tuple[int, str]], half: int):
+    def __init__(self, items: list[tuple[int, str]], half: int, known: Statistics):
         self.half, self.ids, self.texts = half, [i for i, _ in items], [t for _, t in items]
         bags = [Counter(words_of(t)) for t in self.texts]
         self.terms = {t: n for n, t in enumerate(sorted({t for bag in bags for t in bag}))}
-        mean = sum(sum(b.values()) for b in bags) / len(bags)
-        seen = Counter(t for bag in bags for t in bag)
-        idf = {t: math.log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
+        mean = known.words / known.items
+        idf = {t: known.idf(t) for t in self.terms}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for item, bag in enumerate(bags):
             norm = K1 * (1 - B + B * sum(bag.values()) / mean)
@@ -74,6 +97,7 @@ class BlockMaxIndex:
         self.block_max = np.array([w for m in best for w in m.values()])
         parts = [question_and_answer(t) for t in self.texts]
         self.question, self.answer = [grams(q) for q, _ in parts], [grams(a) for _, a in parts]
+        self.short_answer = [tolerant_grams(a) for _, a in parts]
 
     def bounds(self, terms: np.ndarray, segment: np.ndarray, segments: int) -> np.ndarray:
         """For each segment and block the most that an item of the block can score with the segment's terms."""
@@ -134,15 +158,17 @@ class BlockMaxIndex:
             q, a = self.question[item], self.answer[item]
             in_q = sum(g in there[len(g)] for g in q)
             in_a = sum(g in there[len(g)] for g in a)
-            over_q, over_a = in_q / len(q), in_a / len(a) if a else 1.0
+            short = self.short_answer[item]
+            over_q, over_a = in_q / len(q), sum(g in there[len(g)] for g in short) / len(short) if short else 1.0
             if min(over_q, over_a) >= OVERLAP or (in_q + in_a) / (len(q) + len(a)) >= NEARLY_ALL:
                 count, *before = found[text].get(item, (0, 0.0, 0.0, 0.0))
                 found[text][item] = (count + 1, *map(max, before, (score, over_q, over_a)))
         return found
 
 
-def indexes(items: list[tuple[int, str]]) -> list[BlockMaxIndex]:
-    """One index for each class of lengths, so that long items don't make the passages for short ones long."""
+def indexes(items: list[tuple[int, str]], known: Statistics) -> list[BlockMaxIndex]:
+    """One index for each class of lengths, so that long items don't make the passages for short ones long. All weigh
+    words by what is ``known`` of all items."""
     classes: dict[int, list[tuple[int, str]]] = {}
     for item, text in sorted(items):
         n = len(words_of(text))
@@ -151,11 +177,11 @@ def indexes(items: list[tuple[int, str]]) -> list[BlockMaxIndex]:
             while half < n:
                 half *= 2
             classes.setdefault(half, []).append((item, text))
-    return [BlockMaxIndex(members, half) for half, members in sorted(classes.items())]
+    return [BlockMaxIndex(members, half, known) for half, members in sorted(classes.items())]
 
 
-def slices(items: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[int, str]]]:
-    """The test items in slices of bounded bytes."""
+def slices(items: DataFrame, id_column: str, text_column: str) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """The test items in slices of bounded bytes, each with the statistics of all items for the words of the slice."""
     rows = items.select(F.col(id_column).cast("long").alias("i"), F.col(text_column).alias("t")).where(
         "i is not null and t is not null"
     )
@@ -163,7 +189,31 @@ def slices(items: DataFrame, id_column: str, text_column: str) -> Iterator[list[
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // SLICE_BYTES))
     for part in range(n):
-        yield [(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("t"), F.lit(n)) == part).collect()]
+        own = [(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("t"), F.lit(n)) == part).collect()]
+        here = statistics_of([t for _, t in own])
+        yield own, here if n == 1 else statistics_over(rows.select("t"), set(here.holding))
+
+
+def statistics_over(texts: DataFrame, asked: set[str]) -> Statistics:
+    """Of all ``texts``; one pass, which returns a row for each word asked for."""
+    sent = texts.sparkSession.sparkContext.broadcast(asked)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = words = 0
+        holding: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                own = words_of(text.as_py())
+                items, words = items + bool(own), words + len(own)
+                holding.update(sent.value.intersection(own))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *holding], pa.string()), pa.array([items, *holding.values()], pa.int64()),
+             pa.array([words] + [0] * len(holding), pa.int64())], names=["w", "n", "m"],
+        )
+
+    sums = texts.mapInArrow(run, "w string, n long, m long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect()
+    total = next(r for r in sums if r.w is None)
+    return Statistics(total.n, total.m, {r.w: r.n for r in sums if r.w is not None})
 
 
 HITS = ArrayType(
@@ -187,7 +237,7 @@ def with_leaks(docs: DataFrame, items: DataFrame, text_column: str = "text", id_
         last = name in docs.columns
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
-            known, kind = indexes(sent.value), to_arrow_type(HITS)
+            known, kind = indexes(*sent.value), to_arrow_type(HITS)
             for batch in batches:
                 raw = [t.as_py() or "" for t in batch.column(text_column)]
                 hits: list[list[dict]] = batch.column(name).to_pylist() if last else [[] for _ in raw]
