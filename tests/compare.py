@@ -39,7 +39,7 @@ def mismatch(spark_df, db, sql: str, exact: bool = False) -> str | None:
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(set(names) ^ set(spark_df.columns))}"
     types = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean",
-             "TIMESTAMP": "timestamp_ntz"}
+             "INTEGER": "int", "TIMESTAMP": "timestamp_ntz"}
     kinds = dict(spark_df.dtypes)
     odd = [(d[0], str(d[1]), kinds[d[0]]) for d in cursor.description if types.get(str(d[1]).upper()) != kinds[d[0]]]
     if odd:
