@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.compare import connect, mismatch
 from tillwork.llm import ORACLE, QUERIES, bpe, contamination, embeddings, language, licenses, neardup, quality, repeats
-from tillwork.llm import sharding, toolcalls
+from tillwork.llm import common, sharding, toolcalls
 from tillwork.llm.common import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, rid long, shard int"
@@ -336,3 +337,46 @@ def test_pipeline(spark, folder):
     assert contamination.find_leaks(seen["decontamination"], spark.read.parquet(f"{folder}/benchmark.parquet")).count() == 0
     assert seen["bpe_ids"].count() == seen["decontamination"].count() == corpus_pipeline.run(spark, folder).count()
     assert seen["near_dedup"].select(F.countDistinct("text")).first()[0] == seen["near_dedup"].count()
+
+
+def test_row_keys_depend_on_files_alone(spark, folder, tmp_path, monkeypatch):
+    """Keys, near copies and repeats are the same while splits change from job to job, as they do with the cores."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    path = str(tmp_path / "many")
+    docs.repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    setting, before = "spark.sql.leafNodeDefaultParallelism", spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    want = {
+        near.__name__: sorted(map(tuple, near(docs).drop("rid").collect()))
+        for near in (neardup.near_duplicates, repeats.remove_repeats)
+    }
+    cores = itertools.cycle((3, 16, 5))
+
+    def settle_elsewhere(df, purpose):
+        done = common.settle(df, purpose)
+        spark.conf.set(setting, next(cores))
+        return done
+
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "4k")
+        keys = []
+        for n in (4, 12):
+            spark.conf.set(setting, n)
+            keys.append({r.rid: r.doc_id for r in common.with_row_key(docs).select("rid", "doc_id").collect()})
+        assert keys[0] == keys[1] and sorted(keys[0]) == list(range(docs.count()))
+        for module, near in ((neardup, neardup.near_duplicates), (repeats, repeats.remove_repeats)):
+            monkeypatch.setattr(module, "settle", settle_elsewhere)
+            assert sorted(map(tuple, near(docs).drop("rid").collect())) == want[near.__name__]
+        import corpus_pipeline
+
+        rows = corpus_pipeline.near_dedup(spark, docs, folder)
+        kept = {r[0] for r in neardup.near_duplicates(docs).where("kept").select("doc_id").collect()}
+        assert {r.doc_id for r in rows.collect()} == kept
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def test_row_keys_of_frames_without_files(spark):
+    keyed = common.with_row_key(spark.range(1000).repartition(5))
+    assert sorted(r.rid for r in keyed.collect()) == list(range(1000))

@@ -7,7 +7,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwork.session import shared_folder
@@ -35,9 +36,21 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def with_row_key(df: DataFrame, name: str = "rid") -> DataFrame:
-    """A key for every row, also where ids repeat or are null. It counts the rows of each input split, so ``df`` has to
-    be a plain read of files: then a task that runs again finds the same rows in the same places."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """A gapless key for every row, also where ids repeat or are null: the rows of all files that come before by path,
+    and the row's place in its own file. It depends on the files alone, so it is the same in every job, however a scan
+    is split, whatever the number of cores and whichever executors were lost. A frame that isn't a plain read of
+    Parquet files is written first; then the key holds for the frame that is returned."""
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        df.select(path, place)
+    except AnalysisException:
+        df = settle(df, "keyed-rows")
+    own = df.select(path.alias("_path")).groupBy("_path").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)  # over one row a file
+    files = own.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    files = F.broadcast(settle(files, "file-offsets"))  # one row a file
+    keyed = df.withColumns({"_own_path": path, "_place": place}).join(files, F.col("_own_path") == F.col("_path"))
+    return keyed.withColumn(name, F.col("_before") + F.col("_place")).drop("_own_path", "_path", "_place", "_before")
 
 
 def has_learning_row(id_column: str, buckets: int, held_out: int):

@@ -347,7 +347,7 @@ def remove_repeats(
 
     Null and empty texts have no bytes and no spans. Null ids come first. Repeated rows are copies: all but the first
     go (all go without ``keep_first``) if they have ``length`` bytes. An empty table gives no rows; other columns are
-    not read, but those named in ``keep`` are handed on. ``docs`` has to be a plain read of files."""
+    not read, but those named in ``keep`` are handed on."""
     small_batches(docs.sparkSession)
     extra = keep or []
     rows = with_row_key(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *extra))
