@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over `documents`: languages, near copies, repeated passages, test items, token ids.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. ``docs`` has to be a plain read of
-files, as it is between stages. All but the last return the columns of documents."""
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. All but the last return the
+columns of documents."""
 
 from __future__ import annotations
 
@@ -27,9 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of equal and similar texts."""
-    docs = docs.select(*COLUMNS)
-    kept = neardup.near_duplicates(docs).where("kept").select("rid")
-    return with_row_key(docs).join(kept, "rid", "left_semi").select(*COLUMNS)
+    rows = with_row_key(docs.select(*COLUMNS))
+    kept = neardup.near_duplicates(rows, row_key="rid").where("kept").select("rid")
+    return rows.join(kept, "rid", "left_semi").select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
