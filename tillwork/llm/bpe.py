@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import small_batches, table
+from tillwork.llm.common import small_batches, table, tidy
 
 CHUNK = 1024  # mean bytes between cuts
 LEAST, MOST = 256, 8192  # bytes of a chunk
@@ -94,6 +95,7 @@ class ChunkCoder:
     with what encoding the whole text gives."""
 
     def __init__(self, path: str, words: int = WORDS, chunk_bytes: int = CHUNK_BYTES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and words come in small batches
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -207,7 +209,7 @@ def encode_documents(
 
     source = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = to_arrow_type(source.schema["doc_id"].dataType)
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
+    return source.mapInArrow(tidy(run), f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
 
 
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:

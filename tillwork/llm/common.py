@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -53,6 +54,21 @@ def with_row_key(df: DataFrame, name: str = "rid") -> DataFrame:
     return keyed.withColumn(name, F.col("_before") + F.col("_place")).drop("_own_path", "_path", "_place", "_before")
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, after which the Python worker gives free memory back: workers live on between tasks
+    and stages, and what they keep without need would add to the memory of the next stage."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # not every C library has it
+                trim(0)
+
+    return whole
+
+
 def has_learning_row(id_column: str, buckets: int, held_out: int):
     """True for rows that may be learned from: crc32 of the id as text, modulo ``buckets``, differs from ``held_out``."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % buckets != held_out
