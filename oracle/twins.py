@@ -303,6 +303,16 @@ def oracle_sql() -> dict[str, str]:
         **{f"mart_{m}": f"select * from m_{m}" for m in MARTS},
         "snapshot_input": "select * from m_customers",
         "bronze_copy": _counts(RAW_TABLES),
+        "key_summaries": """
+            select customer_id, count(*) as n, any_value(n_rows) as n_rows
+            from (
+              select customer_id, count(*) over () as n_rows
+              from (
+                select ss_customer_sk as customer_id from b_store_sales
+                union all select ws_bill_customer_sk from b_web_sales
+                union all select cs_bill_customer_sk from b_catalog_sales) buyers
+              where customer_id is not null) known
+            group by customer_id having count(*) * 1000 > any_value(n_rows)""",
         "materialize_view": """
             select channel, count(*) as n_rows, cast(sum(gross_amount) as double) as gross
             from m_unified_sales group by channel""",
@@ -400,6 +410,18 @@ def oracle_sql() -> dict[str, str]:
         "failure_row": """
             select 'refresh_returns_task' as task_name, 'FAILED' as status, true as has_message
             where exists (select 1 from lineitem where l_returnflag = 'R')""",
+        "refresh_after_failure": f"""
+            select 'first' as run, task_name, 'SUCCESS' as status, rows_processed
+            from ({_task_counts("{item} % 2 = 0")}) where task_name = 'refresh_sales_task'
+            union all select 'first', 'refresh_returns_task', 'FAILED', null
+            union all
+            select 'third', task_name, 'SUCCESS', rows_processed
+            from ({_task_counts("{item} % 2 = 1")}) where task_name = 'refresh_sales_task'
+            union all
+            select 'third', task_name, 'SUCCESS', rows_processed
+            from ({_task_counts()}) where task_name <> 'refresh_sales_task'
+            union all select unnest(['first', 'third']), 'root_refresh_task', 'RUNNING', null
+            union all select 'third', 'log_completion_task — pipeline complete', 'SUCCESS', null""",
         "layered_run": f"""
             select 'silver' as layer, check_name, failures from ({report(STAGING_CHECKS)})
             union all

@@ -108,6 +108,49 @@ def test_refresh_logs_counts_once(spark, tmp_path):
     }
 
 
+def test_counts_come_from_footers(spark, tmp_path):
+    """The plan that counts new files reads no column, and files are new once."""
+    path = str(tmp_path / "a table+x")
+    tables = {"inventory": (path, spark.range(1).schema)}
+    spark.range(50).repartition(3).write.parquet(path)
+    waiting = changes.new_files(spark, tables, str(tmp_path / "state"))
+    assert len(waiting["inventory"]) == 3
+    counted = changes.count_files(spark, tables, waiting)
+    assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
+    assert counted.agg(F.sum("n_rows")).first()[0] == 50
+    changes.consume(spark, tables, waiting, str(tmp_path / "state"), "r", "refresh_inventory_task")
+    spark.range(7).write.mode("append").parquet(path)
+    assert len(changes.new_files(spark, tables, str(tmp_path / "state"))["inventory"]) >= 1
+    found = changes.count_new_rows(spark, tables, str(tmp_path / "state"), "s").collect()
+    assert [(r.table_name, r.n_rows) for r in found] == [("inventory", 7)]
+
+
+def test_a_run_that_is_repeated_under_its_name_logs_once(spark, tmp_path, monkeypatch):
+    tables = {name: (str(tmp_path / name), spark.range(1).schema) for name in changes.CAPTURED}
+    for path, _ in tables.values():
+        spark.range(4).write.parquet(path)
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    real = changes.append_log
+
+    def lost(spark, path, task, status, *rest, **more):
+        if task == "refresh_inventory_task" and status == changes.SUCCESS:
+            raise KeyboardInterrupt  # as if the driver died after the counts were entered
+        real(spark, path, task, status, *rest, **more)
+
+    monkeypatch.setattr(changes, "append_log", lost)
+    with pytest.raises(KeyboardInterrupt):
+        changes.refresh(spark, tables, state, log, "r1")
+    monkeypatch.setattr(changes, "append_log", real)
+    assert changes.has_data(spark, tables, state, log)
+    assert changes.refresh(spark, tables, state, log, "r1")
+    rows = sorted((r.task_name, r.status, r.rows_processed) for r in changes.read_log(spark, log).collect() if r.rows_processed is not None)
+    assert [(r[0], r[2]) for r in rows] == [
+        ("refresh_clickstream_task", 4), ("refresh_inventory_task", 4), ("refresh_returns_task", 8), ("refresh_sales_task", 12),
+    ]
+    assert changes.open_counts(spark, state, log).isEmpty()
+    assert not changes.refresh(spark, tables, state, log, "r2")
+
+
 def test_serving_view_notices_drift(spark, tmp_path):
     df = spark.range(5).withColumn("v", F.lit("a"))
     path = str(tmp_path / "mart")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.operators.lookup import lookup, spread_join
+from tillwork.operators.lookup import Hot, lookup, spread_join
 
 # --- fixed values: key and tracked columns of the customer history, and the names of the added columns -----------
 KEY = "customer_id"
@@ -115,7 +115,7 @@ def scd2_as_of(history: DataFrame, moment: Column) -> DataFrame:
 
 
 def join_as_of(
-    facts: DataFrame, history: DataFrame, key: str, moment: str, hot: list[int] | None = None
+    facts: DataFrame, history: DataFrame, key: str, moment: str, hot: Hot = None
 ) -> DataFrame:
     """Facts with the version of their customer that was valid at the time of the fact.
 

@@ -5,8 +5,10 @@ Three ways, from cheapest to most general:
 * ``lookup`` broadcasts the dimension, but only after its inputs were measured and found small.
 * Larger dimensions take Spark's shuffle join; adaptive execution may still turn it into a broadcast at run time.
 * In that shuffle join, rows without a key never match, so they are spread instead of landing in one task; and keys
-  that hold a large share of the facts are salted. Both are exact: no row is dropped, capped or sampled. Only the
-  question *which keys are hot* is answered from a sample, and the answer is a short literal list used on both sides.
+  that are known to be hot are salted. Both are exact: no row is dropped, capped or sampled.
+
+*Which* keys are hot is handed in: as hashes, or as a frame of hashes from the key summaries that are stored with the
+raw tables (``keys``). So no job runs while a plan is built, and a wrong hint costs time, never rows.
 """
 
 from __future__ import annotations
@@ -19,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024**2  # most bytes that the inputs of a broadcast dimension may have
-PROBE_BYTES = 16 * 1024**3  # facts below this size are not probed for hot keys
-PROBE_ROWS = 2_000_000  # rows to aim for when sampling for hot keys
-HOT_SHARE = 1 / 200  # a key with at least this share of the rows is hot, so there are at most 200
+SPREAD_BYTES = 16 * 1024**3  # facts below this size are joined without spreading
+
+Hot = list[int] | DataFrame | None  # hashes of hot keys, or a frame of few of them in its only column ``key``
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -50,7 +52,7 @@ def lookup(
     *,
     spread_by: Sequence[str] = (),
     limit: int = BROADCAST_BYTES,
-    hot: list[int] | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dim`` on ``{fact column: dimension column}``; fact and dimension column names must differ.
 
@@ -62,18 +64,17 @@ def lookup(
     return spread_join(facts, dim, on, how, spread_by=spread_by, hot=hot)
 
 
-def hot_keys(facts: DataFrame, columns: list[str], share: float = HOT_SHARE, rows: int = PROBE_ROWS) -> list[int]:
-    """Hashes of keys that hold at least ``share`` of the sampled rows; never more than ``1 / share`` of them.
+def with_hot(df: DataFrame, columns: Sequence[str], hot: Hot, name: str) -> DataFrame:
+    """Adds whether the key of a row is among the hot ones."""
+    key = F.xxhash64(*[F.col(c).cast("bigint") if kind in INTEGERS else F.col(c) for c, kind in df.select(*columns).dtypes])
+    if hot is None or isinstance(hot, list):
+        return df.withColumn(name, key.isin(hot) if hot else F.lit(False))
+    listed = F.broadcast(hot.select(F.col("key").alias("_hot_key")))  # no more than keys.MOST rows
+    marked = df.withColumn("_own_key", key).join(listed, F.col("_own_key") == F.col("_hot_key"), "left")
+    return marked.withColumn(name, F.col("_hot_key").isNotNull()).drop("_own_key", "_hot_key")
 
-    Decides only where rows are processed. One column-pruned scan; at most ``1 / share`` numbers reach the driver.
-    """
-    size = input_bytes(facts)
-    fraction = min(1.0, rows * 64 / max(size, 1))
-    keys = facts.select(F.xxhash64(*columns).alias("key"))
-    sampled = keys if fraction == 1.0 else keys.sample(fraction=fraction, seed=7)
-    least = max(2.0, sampled.count() * share)
-    found = sampled.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return sorted(row["key"] for row in found.collect())
+
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 def spread_join(
@@ -84,38 +85,38 @@ def spread_join(
     *,
     spread_by: Sequence[str] = (),
     also: Column | None = None,
-    hot: list[int] | None = None,
+    hot: Hot = None,
+    hot_on: Sequence[str] | None = None,
     ways: int | None = None,
 ) -> DataFrame:
     """Shuffle join in which rows without a key and rows of hot keys are spread over ``ways`` tasks.
 
     Fact rows of a hot key get one of ``ways`` salts, from a hash of ``spread_by``, and the matching dimension rows
-    exist once per salt; all other rows have salt 0 on both sides. ``hot`` is a list from ``hot_keys``; when absent,
-    large facts are probed. Small facts without hot keys take the plain join. ``also`` is a further condition.
+    exist once per salt; all other rows have salt 0 on both sides. Facts below SPREAD_BYTES take the plain join.
+    ``also`` is a further condition. ``hot_on`` names the fact columns that the hints are about, all of ``on`` by default.
     """
     if how not in ("left", "inner"):
         raise ValueError("spread_join keeps or filters fact rows: use left or inner")
     left_columns, right_columns = list(on), list(on.values())
     matches = _matches(on) if also is None else _matches(on) & also
-    large = input_bytes(facts) > PROBE_BYTES
-    if hot is None:
-        hot = hot_keys(facts, left_columns) if large and spread_by else []
-    if not spread_by or not (large or hot):
+    if not spread_by or input_bytes(facts) <= SPREAD_BYTES:
         return facts.join(dim, matches, how)
     ways = ways or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def is_hot(columns: list[str]) -> Column:
-        return F.xxhash64(*columns).isin(hot) if hot else F.lit(False)
-
-    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in left_columns])
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
-    salted_facts = facts.withColumn("_salt", F.when(keyless | is_hot(left_columns), salt).otherwise(0))
+    hinted = list(hot_on or left_columns)
+    spread = with_hot(facts, hinted, hot, "_hot").withColumn(
+        "_salt", F.when(_keyless(left_columns) | F.col("_hot"), salt).otherwise(0)
+    )
     every_salt = F.sequence(F.lit(0), F.lit(ways - 1))
-    salted_dim = dim.withColumn(
-        "_dim_salt", F.explode(F.when(is_hot(right_columns), every_salt).otherwise(F.array(F.lit(0))))
+    salted_dim = with_hot(dim, [on[c] for c in hinted], hot, "_dim_hot").withColumn(
+        "_dim_salt", F.explode(F.when(F.col("_dim_hot"), every_salt).otherwise(F.array(F.lit(0))))
     )
     salted = matches & (F.col("_salt") == F.col("_dim_salt"))
-    return salted_facts.join(salted_dim, salted, how).drop("_salt", "_dim_salt")
+    return spread.join(salted_dim.drop("_dim_hot"), salted, how).drop("_hot", "_salt", "_dim_salt")
+
+
+def _keyless(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
 def fanout_left_join(
@@ -125,44 +126,56 @@ def fanout_left_join(
     *,
     spread_left: Sequence[str],
     spread_right: Sequence[str],
-    hot: list[int] | None = None,
+    show: Sequence[str] | None = None,
+    hot: Hot = None,
+    hot_on: Sequence[str] | None = None,
     ways: int | None = None,
 ) -> DataFrame:
-    """Left join in which a key may repeat on both sides, so that either side can be the heavy one.
+    """Left join in which a key may repeat on both sides, so that either side can be the heavy one. One pass over each.
+
+    The pairs of a hot key are laid out on a grid of cells: each left row picks a grid row and goes to all its cells,
+    each right row picks a grid column and goes to all its cells, so each pair meets exactly once and no task sees the
+    whole key. All other rows have the cell 0 of their key, and left rows without a key are spread.
 
-    Keys that are not hot take ``spread_join``. For a hot key the pairs are laid out on a grid: each left row picks a
-    grid row and goes to all grid columns, each right row picks a grid column and goes to all grid rows, so each pair
-    meets exactly once and no task sees the whole key. ``spread_left`` and ``spread_right`` name columns that vary
-    between rows of one key. Left rows of hot keys without any partner are added at the end.
+    A left row of a hot key meets no partner in some of its cells, though it has one elsewhere; so only its home cell
+    may show it without partner, and only if the key has none at all. The keys that have one are counted from the very
+    exchange that the join reads, not from another pass over ``right``. Hints may be wrong: a key that isn't hot, or has
+    no partner, costs copies of its rows and nothing else.
+
+    ``spread_left`` and ``spread_right`` name columns that vary between rows of one key. ``show`` are the columns of
+    ``right`` that the caller goes on to use, all by default; the others stay behind, which also lets the exchange be
+    read twice. ``hot_on`` names the columns of ``left`` that the hints are about, all of ``on`` by default. Facts below SPREAD_BYTES on both sides take the plain join, as do all without hints.
     """
     left_columns, right_columns = list(on), list(on.values())
-    if hot is None:
-        hot = sorted(
-            {
-                key
-                for side, columns in ((left, left_columns), (right, right_columns))
-                if input_bytes(side) > PROBE_BYTES
-                for key in hot_keys(side, columns)
-            }
-        )
-    if not hot:
-        return left.join(right, _matches(on), "left")
-    is_hot_left = F.xxhash64(*left_columns).isin(hot)
-    is_hot_right = F.xxhash64(*right_columns).isin(hot)
-    cold = left.where(~is_hot_left).join(right.where(~is_hot_right), _matches(on), "left")
-
+    shown = list(dict.fromkeys([*right_columns, *(right.columns if show is None else show)]))
+    if hot is None or hot == [] or max(input_bytes(left), input_bytes(right)) <= SPREAD_BYTES:
+        return left.join(right.select(*shown), _matches(on), "left")
     tasks = ways or max(4, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     edge = math.ceil(math.sqrt(tasks))
-    every = F.explode(F.sequence(F.lit(0), F.lit(edge - 1)))
-    hot_left, hot_right = left.where(is_hot_left), right.where(is_hot_right)
-    grid_left = hot_left.withColumn("_row", F.pmod(F.xxhash64(*spread_left), F.lit(edge)).cast("int"))
-    grid_right = hot_right.withColumn("_dim_column", F.pmod(F.xxhash64(*spread_right), F.lit(edge)).cast("int"))
-    same_cell = (F.col("_row") == F.col("_dim_row")) & (F.col("_column") == F.col("_dim_column"))
-    paired = (
-        grid_left.withColumn("_column", every)
-        .join(grid_right.withColumn("_dim_row", every), _matches(on) & same_cell)
-        .drop("_row", "_column", "_dim_row", "_dim_column")
+
+    row = F.pmod(F.xxhash64(*spread_left), F.lit(edge)).cast("int")
+    own_row = F.sequence(1 + row * edge, (row + 1) * edge)
+    alone = F.array(-1 - F.pmod(F.xxhash64(*spread_left), F.lit(tasks)).cast("int"))
+    plain = F.array(F.lit(0))
+    cells = F.when(_keyless(left_columns), alone).when(F.col("_hot"), own_row).otherwise(plain)
+    hinted = list(hot_on or left_columns)
+    placed = with_hot(left, hinted, hot, "_hot").withColumn("_cell", F.explode(cells)).drop("_hot")
+
+    column = F.pmod(F.xxhash64(*spread_right), F.lit(edge)).cast("int")
+    own_column = F.sequence(1 + column, 1 + column + edge * (edge - 1), F.lit(edge))
+    met = with_hot(right, [on[c] for c in hinted], hot, "_dim_hot").where(~_keyless(right_columns))
+    met = met.withColumn("_dim_cell", F.explode(F.when(F.col("_dim_hot"), own_column).otherwise(plain)))
+    met = met.where("_dim_cell is not null").select(*shown, "_dim_cell").repartition(*right_columns, "_dim_cell")
+
+    # Uses all columns, so that both readers of the exchange ask it for the same ones and it runs once.
+    in_grid = [F.when(F.col("_dim_cell") > 0, F.col(c)).alias(f"_held_{i}") for i, c in enumerate(right_columns)]
+    held = met.groupBy(*in_grid).agg(F.max(F.xxhash64(*met.columns)).alias("_held"))
+    held = F.broadcast(held)  # no more rows than hints, and one of nulls for all other keys
+
+    joined = placed.join(met, _matches(on) & (F.col("_cell") == F.col("_dim_cell")), "left")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_held_{i}")) for i, c in enumerate(left_columns)])
+    home = (F.col("_cell") > 0) & (F.pmod(F.col("_cell") - 1, F.lit(edge)) == 0)
+    joined = joined.join(held, same, "left").where(
+        F.col("_dim_cell").isNotNull() | (F.col("_cell") <= 0) | (home & F.col("_held").isNull())
     )
-    partners = hot_right.select(*right_columns).distinct()  # no more keys than the hot list has, but for collisions
-    alone = hot_left.join(partners, _matches(on), "left_anti")
-    return cold.unionByName(paired).unionByName(alone, allowMissingColumns=True)
+    return joined.drop("_cell", "_dim_cell", "_held", *[f"_held_{i}" for i in range(len(on))])

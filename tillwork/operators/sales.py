@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwork import fixed_values as fixed
 from tillwork import functions as fn
-from tillwork.operators.lookup import fanout_left_join, lookup, spread_join
+from tillwork.operators.lookup import Hot, fanout_left_join, lookup, spread_join
 
 SALE_KEY = ("ticket_number", "item_id")
 
@@ -138,6 +138,7 @@ def unified_sales(
     customers: DataFrame,
     addresses: DataFrame,
     stores: DataFrame,
+    hot_customers: Hot = None,
 ) -> DataFrame:
     """Sales with date, item, customer and place.
 
@@ -151,7 +152,13 @@ def unified_sales(
         F.col("region").alias("store_region"),
     )
     placed = lookup(spine, branches, {"store_id": "_store_id"})
-    bought = lookup(placed, customer_places(customers, addresses), {"customer_id": "known_customer_id"}, spread_by=SALE_KEY)
+    bought = lookup(
+        placed,
+        customer_places(customers, addresses),
+        {"customer_id": "known_customer_id"},
+        spread_by=SALE_KEY,
+        hot=hot_customers,
+    )
     return (
         bought.withColumn("customer_id", F.col("known_customer_id"))
         .withColumn("state_code", F.coalesce("store_state", "home_state"))
@@ -160,7 +167,9 @@ def unified_sales(
     )
 
 
-def unified_returns(returns: DataFrame, dates: DataFrame, items: DataFrame, spine: DataFrame) -> DataFrame:
+def unified_returns(
+    returns: DataFrame, dates: DataFrame, items: DataFrame, spine: DataFrame, hot_sales: Hot = None
+) -> DataFrame:
     """Returns with date, item and whether a sale of the same (ticket, item) was promoted.
 
     A return that matches k sales gives k rows, as many as the sales have.
@@ -188,6 +197,8 @@ def unified_returns(returns: DataFrame, dates: DataFrame, items: DataFrame, spin
         {"ticket_number": "_ticket", "item_id": "_sold_item"},
         spread_left=("customer_id", "return_date", "quantity_returned"),
         spread_right=("_sold_row",),
+        show=("promotion_id",),
+        hot=hot_sales,
     )
     return matched.select(
         "return_sk",
@@ -207,7 +218,7 @@ def unified_returns(returns: DataFrame, dates: DataFrame, items: DataFrame, spin
     )
 
 
-def net_sales(unified: DataFrame, returns: DataFrame, match_channel: bool = False) -> DataFrame:
+def net_sales(unified: DataFrame, returns: DataFrame, match_channel: bool = False, hot_sales: Hot = None) -> DataFrame:
     """Sales with each matching return; ``returns`` are unified returns.
 
     By default returns match on (ticket, item) alone, so a return of one channel can reach a sale of another. With
@@ -230,6 +241,9 @@ def net_sales(unified: DataFrame, returns: DataFrame, match_channel: bool = Fals
         on,
         spread_left=("customer_id", "sale_date", "gross_amount"),
         spread_right=("return_amount", "quantity_returned"),
+        show=("return_amount", "quantity_returned"),
+        hot=hot_sales,
+        hot_on=SALE_KEY,
     )
     return joined.select(
         *[c for c in UNIFIED_COLUMNS if c not in dropped],
@@ -295,7 +309,7 @@ def _copies(per_key: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def sales_lines(unified: DataFrame, totals: DataFrame, match_channel: bool = False) -> DataFrame:
+def sales_lines(unified: DataFrame, totals: DataFrame, match_channel: bool = False, hot_sales: Hot = None) -> DataFrame:
     """One row per sale with weights that stand for its net-sales rows.
 
     ``copies`` rows of net sales come from the line and ``returned_copies`` of them count as returned. The sums over
@@ -305,7 +319,9 @@ def sales_lines(unified: DataFrame, totals: DataFrame, match_channel: bool = Fal
     if match_channel:
         on["channel"] = "_return_channel"
     copies = F.coalesce("matches", F.lit(1).cast("bigint"))
-    joined = spread_join(unified, totals, on, spread_by=("customer_id", "sale_date", "gross_amount"))
+    joined = spread_join(
+        unified, totals, on, spread_by=("customer_id", "sale_date", "gross_amount"), hot=hot_sales, hot_on=SALE_KEY
+    )
     gross = fn.to_cents(F.col("gross_amount")) * copies
     refund = F.coalesce("refund", F.lit(0).cast("bigint"))
     return joined.select(

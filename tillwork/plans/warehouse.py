@@ -42,6 +42,11 @@ class Warehouse:
             self._staged[table] = STAGING[table](self.bronze[table])
         return self._staged[table]
 
+    def hot_keys(self, name: str) -> DataFrame | None:
+        """Hot keys by the summaries stored with the raw tables; no job runs for them. None where there are none."""
+        stored = getattr(self.bronze, "hot_keys", None)
+        return stored(name) if stored else None
+
     # --- intermediate models -------------------------------------------------------------------------------------
 
     @cached_property
@@ -59,24 +64,26 @@ class Warehouse:
     @cached_property
     def unified_sales(self) -> DataFrame:
         dims = ("date_dim", "item", "customer", "customer_address", "store")
-        return sales.unified_sales(self.sales_union, *[self.staged(t) for t in dims])
+        return sales.unified_sales(
+            self.sales_union, *[self.staged(t) for t in dims], hot_customers=self.hot_keys("customer")
+        )
 
     @cached_property
     def unified_returns(self) -> DataFrame:
         return sales.unified_returns(
-            self.returns_union, self.staged("date_dim"), self.staged("item"), self.sales_spine
+            self.returns_union, self.staged("date_dim"), self.staged("item"), self.sales_spine, self.hot_keys("sale")
         )
 
     @cached_property
     def net_sales(self) -> DataFrame:
-        return sales.net_sales(self.unified_sales, self.unified_returns, self.match_channel)
+        return sales.net_sales(self.unified_sales, self.unified_returns, self.match_channel, self.hot_keys("sale"))
 
     @cached_property
     def sales_lines(self) -> DataFrame:
         if self._lines is not None:
             return self._lines
         totals = sales.return_totals(self.sales_spine, self.returns_union, self.match_channel)
-        return sales.sales_lines(self.unified_sales, totals, self.match_channel)
+        return sales.sales_lines(self.unified_sales, totals, self.match_channel, self.hot_keys("sale"))
 
     @cached_property
     def dated_inventory(self) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tillwork.operators import keys
+
 # --- fixed values: raw tables ---------------------------------------------------------------------------------
 BRONZE_TABLES = (
     "store_sales",
@@ -40,8 +42,8 @@ RAW_CLICKSTREAM = T.StructType(
 class ParquetTables(Mapping):
     """Tables below one folder, opened on first use so that a model only lists the files it needs."""
 
-    def __init__(self, spark: SparkSession, root: str, names: Iterable[str]):
-        self._spark, self._root, self._names = spark, root.rstrip("/"), tuple(names)
+    def __init__(self, spark: SparkSession, root: str, names: Iterable[str], summaries: bool = False):
+        self._spark, self._root, self._names, self._summaries = spark, root.rstrip("/"), tuple(names), summaries
         self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -51,6 +53,13 @@ class ParquetTables(Mapping):
             self._open[name] = self._spark.read.parquet(f"{self._root}/{name}")
         return self._open[name]
 
+    def hot_keys(self, name: str) -> DataFrame | None:
+        """Hashes of the hot keys ``name`` by the summaries that are stored beside the tables, None without any."""
+        tables = [t for t in keys.KEYS[name] if t in self._names]
+        if not self._summaries or not tables:
+            return None
+        return keys.hot_keys(keys.read_summaries(self._spark, self._root, name, tables))
+
     def __iter__(self):
         return iter(self._names)
 
@@ -58,15 +67,24 @@ class ParquetTables(Mapping):
         return len(self._names)
 
 
-def read_bronze(spark: SparkSession, root: str, names: Iterable[str] = (*BRONZE_TABLES, "raw_clickstream")):
-    return ParquetTables(spark, root, names)
+def read_bronze(
+    spark: SparkSession,
+    root: str,
+    names: Iterable[str] = (*BRONZE_TABLES, "raw_clickstream"),
+    summaries: bool = False,
+) -> ParquetTables:
+    """Tables below ``root``; with ``summaries``, also the key summaries that ``copy_bronze`` stores there."""
+    return ParquetTables(spark, root, names, summaries)
 
 
 def copy_bronze(
     spark: SparkSession, tables: Mapping[str, DataFrame], root: str, names: Iterable[str] = BRONZE_TABLES
 ) -> ParquetTables:
-    """Copy raw tables unchanged. A rerun replaces the copy, so it is safe to repeat."""
+    """Copy raw tables unchanged, and store summaries of their most frequent keys beside the copies, from which later
+    plans learn without a job which keys are hot. A rerun replaces all of it, so it is safe to repeat."""
     names = tuple(names)
     for name in names:
         tables[name].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-    return read_bronze(spark, root, names)
+    copied = read_bronze(spark, root, names, summaries=True)
+    keys.store_summaries(spark, copied, root)
+    return copied

@@ -1,15 +1,21 @@
-"""Change capture on append-only tables, with the audit log of the refresh that consumes it."""
+"""Change capture on append-only tables, with a ledger of what refreshes counted and the audit log of their tasks.
+
+The ledger has a row for each data file that a refresh has counted. A file that isn't in it is new; so nothing is counted
+twice, whatever was interrupted, and whether anything is new is seen from file lists alone. Counts that no logged task
+covers yet are open: the next refresh logs them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwork.streaming.ingest import drain, start_drain
+from tillwork.streaming.ingest import drain
 
 # --- fixed values: captured tables by refresh task, in the order of the tasks, and the audit names -----------------
 TASKS = {
@@ -32,17 +38,31 @@ RUN_LOG = T.StructType(
         T.StructField("rows_processed", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("error_message", T.StringType()),
+        T.StructField("covers", T.ArrayType(T.StringType())),  # the runs whose counts the row reports
     ]
 )
+LEDGER = "table_name string, file string, n_rows bigint, run string, task string"
+
+Tables = Mapping[str, tuple[str, T.StructType]]  # folder and schema by name
+
 
 def append_log(
-    spark: SparkSession, path: str, task: str, status: str, rows: int | None = None, error: str | None = None
+    spark: SparkSession,
+    path: str,
+    task: str,
+    status: str,
+    rows: int | None = None,
+    error: str | None = None,
+    run: str | None = None,
+    covers: list[str] | None = None,
 ) -> None:
-    """Adds one audit row. As in the runs it stands for, the end time stays open."""
+    """Adds one audit row. As in the runs it stands for, the end time stays open. With ``run``, the row replaces what an
+    interrupted attempt of the same run wrote for the same task and status."""
     entry = spark.createDataFrame(
-        [(task, rows, status, error)], "task_name string, rows_processed bigint, status string, error_message string"
+        [(task, rows, status, error, covers)],
+        "task_name string, rows_processed bigint, status string, error_message string, covers array<string>",
     )
-    entry.select(
+    shaped = entry.select(
         F.uuid().alias("run_id"),
         "task_name",
         F.current_timestamp().cast("timestamp_ntz").alias("started_at"),
@@ -50,11 +70,29 @@ def append_log(
         "rows_processed",
         "status",
         "error_message",
-    ).coalesce(1).write.mode("append").parquet(path)
+        "covers",
+    ).coalesce(1)
+    if run is None:
+        shaped.write.mode("append").parquet(f"{path}/run=none/task=none/state=none")
+    else:
+        number = [ROOT_TASK, *TASKS, LAST_TASK].index(task)
+        shaped.write.mode("overwrite").parquet(f"{path}/run={run}/task={number}/state={status}")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG).parquet(path)
+    """All audit rows, with the name of their run in ``run``."""
+    schema = T.StructType([*RUN_LOG.fields, T.StructField("run", T.StringType())])
+    return _stored(spark, path, schema)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table whose folders carry some of its columns; empty before the first write."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def new_rows(
@@ -77,82 +115,108 @@ def append_stream(
     drain(new_rows(spark, folder, schema), checkpoint, sink)
 
 
-def count_new_rows(
-    spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType]], state: str, run: str
-) -> DataFrame:
-    """Consumes the change stream of each table, all at once; new rows per table, stored under the name of the run.
-
-    Counts are partial sums on the executors and one row per batch in storage; repeating a run after a crash counts
-    nothing twice, because a batch replaces its own count.
-    """
-    started = []
-    try:
-        for table, (folder, schema) in tables.items():
-
-            def store(batch: DataFrame, number: int, table: str = table) -> None:
-                counted = batch.agg(F.count("*").alias("n_rows")).select(F.lit(table).alias("table_name"), "n_rows")
-                counted.write.mode("overwrite").parquet(f"{state}/counts/run={run}/table={table}/batch={number}")
-
-            started.append(start_drain(new_rows(spark, folder, schema), f"{state}/positions/{table}", store))
-        for query in started:
-            query.awaitTermination()
-    finally:
-        for query in started:
-            query.stop()
-    return stored_counts(spark, state, run)
-
-
-def stored_counts(spark: SparkSession, state: str, run: str) -> DataFrame:
-    try:
-        stored = spark.read.parquet(f"{state}/counts/run={run}").select("table_name", "n_rows")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        # Nothing was new, so nothing was stored.
-        return spark.createDataFrame([], "table_name string, n_rows bigint")
-    return stored.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"))
+def read_ledger(spark: SparkSession, state: str) -> DataFrame:
+    return _stored(spark, f"{state}/ledger", T.StructType.fromDDL(LEDGER))
+
+
+def new_files(spark: SparkSession, tables: Tables, state: str) -> dict[str, list[str]]:
+    """The files of each table that no refresh has counted: what is listed without what the ledger has. Contents are not
+    read. Only names of new files come to the driver, as for any scan."""
+    listed = []
+    for table, (folder, _) in tables.items():
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(folder)
+        listed.append(files.where("length > 0").select(F.lit(table).alias("table_name"), F.col("path").alias("file")))
+    if not listed:
+        return {}
+    known = read_ledger(spark, state).select("table_name", "file")
+    found = reduce(DataFrame.unionByName, listed).join(known, ["table_name", "file"], "left_anti")
+    waiting: dict[str, list[str]] = {table: [] for table in tables}
+    for row in found.collect():
+        waiting[row["table_name"]].append(row["file"])
+    return waiting
+
+
+def count_files(spark: SparkSession, tables: Tables, waiting: Mapping[str, list[str]]) -> DataFrame:
+    """(table_name, file, n_rows) of the given files. No column is read, so the counts come from file footers."""
+    parts = []
+    for table, files in waiting.items():
+        if files:
+            read = spark.read.schema(tables[table][1]).parquet(*files)
+            named = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # as files are listed
+            counted = read.groupBy(named.alias("file")).agg(F.count("*").alias("n_rows"))
+            listed = spark.createDataFrame([(f,) for f in files], "file string")  # files without rows count as well
+            counted = listed.join(counted, "file", "left")
+            parts.append(counted.select(F.lit(table).alias("table_name"), "file", F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
+    if not parts:
+        return spark.createDataFrame([], "table_name string, file string, n_rows bigint")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def consume(spark: SparkSession, tables: Tables, waiting: Mapping[str, list[str]], state: str, run: str, task: str) -> None:
+    """Enters the counts of new files into the ledger, under the run and the task, in one file. Files that the ledger
+    has are not new any more, so a repeated attempt adds only what an earlier one did not enter."""
+    if any(waiting.values()):
+        counted = count_files(spark, tables, waiting).coalesce(1)
+        counted.write.mode("append").parquet(f"{state}/ledger/run={run}/task={task}")
+
+
+def open_counts(spark: SparkSession, state: str, log: str, run: str | None = None) -> DataFrame:
+    """(run, task, table_name, n_rows): ledger entries that no SUCCESS row of the log covers, also of runs that failed
+    or were lost between counting and logging. Rows of ``run`` itself, which it is about to replace, cover nothing."""
+    covered = read_log(spark, log).where((F.col("status") == SUCCESS) & ~F.col("run").eqNullSafe(F.lit(run)))
+    covered = covered.select(F.col("task_name").alias("task"), F.explode("covers").alias("run"))
+    counted = read_ledger(spark, state).groupBy("run", "task", "table_name").agg(F.sum("n_rows").alias("n_rows"))
+    return counted.join(covered, ["run", "task"], "left_anti")
+
+
+def count_new_rows(spark: SparkSession, tables: Tables, state: str, run: str) -> DataFrame:
+    """Counts what is new in each table, and enters it into the ledger under ``run``; (table_name, n_rows)."""
+    waiting = new_files(spark, tables, state)
+    for task, names in TASKS.items():
+        consume(spark, tables, {t: waiting[t] for t in names if t in waiting}, state, run, task)
+    return read_ledger(spark, state).where(F.col("run") == run).groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def refresh_counts(counts: DataFrame) -> DataFrame:
     """New rows per refresh task; a task whose tables had none still shows 0."""
     spark = counts.sparkSession
-    plan = spark.createDataFrame([Row(task_name=t, t=name) for t, names in TASKS.items() for name in names])
-    joined = plan.join(F.broadcast(counts), F.col("t") == F.col("table_name"), "left")
+    plan = spark.createDataFrame([(t, name) for t, names in TASKS.items() for name in names], "task_name string, t string")
+    joined = plan.join(F.broadcast(counts), F.col("t") == F.col("table_name"), "left")  # a row for each captured table
     return joined.groupBy("task_name").agg(
         F.sum(F.coalesce("n_rows", F.lit(0).cast("bigint"))).alias("rows_processed")
     )
 
 
-def has_data(counts: DataFrame) -> bool:
-    return not counts.where(F.col("n_rows") > 0).isEmpty()
+def has_data(spark: SparkSession, tables: Tables, state: str, log: str) -> bool:
+    """Whether there is a file that was never counted, or a count that was never logged."""
+    if any(new_files(spark, tables, state).values()):
+        return True
+    return not open_counts(spark, state, log).isEmpty()
 
 
-def refresh(
-    spark: SparkSession,
-    tables: Mapping[str, tuple[str, T.StructType]],
-    state: str,
-    log: str,
-    run: str,
-) -> bool:
-    """One refresh: consume all change streams and log the counts per task. Nothing new, nothing logged.
-
-    A failing step leaves a FAILED row with its message and is raised again.
+def refresh(spark: SparkSession, tables: Tables, state: str, log: str, run: str) -> bool:
+    """One refresh. Each task counts the new rows of its tables and is logged at once, with all counts of the task that
+    are still open. Nothing new, nothing logged.
+
+    A failing task leaves a FAILED row with its message and is raised again; what earlier tasks counted is logged
+    already, and later tasks find their files still new. A run that was lost between counting and logging leaves open
+    counts, which the next one logs. ``run`` names the refresh; a repeated attempt under the same name replaces its rows.
     """
     step = ROOT_TASK
     try:
-        for step, names in TASKS.items():
-            count_new_rows(spark, {t: tables[t] for t in names if t in tables}, state, run)
-        step = ROOT_TASK
-        counts = stored_counts(spark, state, run)
-        if not has_data(counts):
+        if not has_data(spark, tables, state, log):
             return False
-        append_log(spark, log, ROOT_TASK, RUNNING)
-        new_rows = {row["task_name"]: row["rows_processed"] for row in refresh_counts(counts).collect()}  # one per task
-        for step in TASKS:
-            append_log(spark, log, step, SUCCESS, new_rows[step])
+        append_log(spark, log, ROOT_TASK, RUNNING, run=run)
+        for step, names in TASKS.items():
+            own = {t: tables[t] for t in names if t in tables}
+            consume(spark, own, new_files(spark, own, state), state, run, step)
+            left = open_counts(spark, state, log, run).where(F.col("task") == step).groupBy("run").agg(F.sum("n_rows").alias("n"))
+            left = left.collect()  # a row for each run that was interrupted, and this one
+            covers = sorted({run, *[row["run"] for row in left]})
+            append_log(spark, log, step, SUCCESS, sum(row["n"] for row in left), run=run, covers=covers)
         step = LAST_TASK
-        append_log(spark, log, LAST_TASK, SUCCESS)
+        append_log(spark, log, LAST_TASK, SUCCESS, run=run)
     except Exception as problem:
-        append_log(spark, log, step, FAILED, error=str(problem))
+        append_log(spark, log, step, FAILED, error=str(problem), run=run)
         raise
     return True
