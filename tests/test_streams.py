@@ -118,7 +118,7 @@ def test_counts_come_from_footers(spark, tmp_path):
     counted = changes.count_files(spark, tables, waiting)
     assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
     assert counted.agg(F.sum("n_rows")).first()[0] == 50
-    changes.consume(spark, tables, waiting, str(tmp_path / "state"), "r", "refresh_inventory_task")
+    changes.consume(spark, tables, waiting, str(tmp_path / "state"), "r")
     spark.range(7).write.mode("append").parquet(path)
     assert len(changes.new_files(spark, tables, str(tmp_path / "state"))["inventory"]) >= 1
     found = changes.count_new_rows(spark, tables, str(tmp_path / "state"), "s").collect()

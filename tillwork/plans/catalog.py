@@ -595,7 +595,7 @@ def _refresh_after_failure(spark: SparkSession, folder: str) -> DataFrame:
     captured.append(1)
     only = {"inventory": good["inventory"]}
     waiting = changes.new_files(spark, only, captured.root)
-    changes.consume(spark, only, waiting, captured.root, "second", "refresh_inventory_task")
+    changes.consume(spark, only, waiting, captured.root, "second")
     captured.refresh("third")
     return changes.read_log(spark, captured.log).select("run", "task_name", "status", "rows_processed")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,26 +139,24 @@ def new_files(spark: SparkSession, tables: Tables, state: str) -> dict[str, list
 
 def count_files(spark: SparkSession, tables: Tables, waiting: Mapping[str, list[str]]) -> DataFrame:
     """(table_name, file, n_rows) of the given files. No column is read, so the counts come from file footers."""
-    parts = []
+    names = [(table, file) for table, files in waiting.items() for file in files]
+    parts = [spark.createDataFrame(pa.table({"table_name": [t for t, _ in names], "file": [f for _, f in names]}))]
+    parts[0] = parts[0].withColumn("n", F.lit(0))  # files without rows count as well
     for table, files in waiting.items():
         if files:
             read = spark.read.schema(tables[table][1]).parquet(*files)
             named = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # as files are listed
-            counted = read.groupBy(named.alias("file")).agg(F.count("*").alias("n_rows"))
-            listed = spark.createDataFrame([(f,) for f in files], "file string")  # files without rows count as well
-            counted = listed.join(counted, "file", "left")
-            parts.append(counted.select(F.lit(table).alias("table_name"), "file", F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
-    if not parts:
-        return spark.createDataFrame([], "table_name string, file string, n_rows bigint")
-    return reduce(DataFrame.unionByName, parts)
-
-
-def consume(spark: SparkSession, tables: Tables, waiting: Mapping[str, list[str]], state: str, run: str, task: str) -> None:
-    """Enters the counts of new files into the ledger, under the run and the task, in one file. Files that the ledger
-    has are not new any more, so a repeated attempt adds only what an earlier one did not enter."""
+            parts.append(read.select(F.lit(table).alias("table_name"), named.alias("file"), F.lit(1).alias("n")))
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "file").agg(F.sum("n").alias("n_rows"))
+
+
+def consume(spark: SparkSession, tables: Tables, waiting: Mapping[str, list[str]], state: str, run: str) -> None:
+    """Enters the counts of new files into the ledger, under the run and the task of their table, in one file a task.
+    Files that the ledger has are not new any more, so a repeated attempt adds only what an earlier one did not enter."""
     if any(waiting.values()):
-        counted = count_files(spark, tables, waiting).coalesce(1)
-        counted.write.mode("append").parquet(f"{state}/ledger/run={run}/task={task}")
+        task = F.coalesce(*[F.when(F.col("table_name").isin(*names), F.lit(task)) for task, names in TASKS.items()])
+        counted = count_files(spark, tables, waiting).withColumns({"run": F.lit(run), "task": task})
+        counted.coalesce(1).write.mode("append").partitionBy("run", "task").parquet(f"{state}/ledger")
 
 
 def open_counts(spark: SparkSession, state: str, log: str, run: str | None = None) -> DataFrame:
@@ -171,9 +170,7 @@ def open_counts(spark: SparkSession, state: str, log: str, run: str | None = Non
 
 def count_new_rows(spark: SparkSession, tables: Tables, state: str, run: str) -> DataFrame:
     """Counts what is new in each table, and enters it into the ledger under ``run``; (table_name, n_rows)."""
-    waiting = new_files(spark, tables, state)
-    for task, names in TASKS.items():
-        consume(spark, tables, {t: waiting[t] for t in names if t in waiting}, state, run, task)
+    consume(spark, tables, new_files(spark, tables, state), state, run)
     return read_ledger(spark, state).where(F.col("run") == run).groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"))
 
 
@@ -209,7 +206,7 @@ def refresh(spark: SparkSession, tables: Tables, state: str, log: str, run: str)
         append_log(spark, log, ROOT_TASK, RUNNING, run=run)
         for step, names in TASKS.items():
             own = {t: tables[t] for t in names if t in tables}
-            consume(spark, own, new_files(spark, own, state), state, run, step)
+            consume(spark, own, new_files(spark, own, state), state, run)
             left = open_counts(spark, state, log, run).where(F.col("task") == step).groupBy("run").agg(F.sum("n_rows").alias("n"))
             left = left.collect()  # a row for each run that was interrupted, and this one
             covers = sorted({run, *[row["run"] for row in left]})
