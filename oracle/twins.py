@@ -385,8 +385,10 @@ def oracle_sql() -> dict[str, str]:
         "landing_zone": """
             select cast(user_id % 2 as varchar) as batch, count(*) as n_rows from b_raw_clickstream group by 1""",
         "incremental_ingest": f"select {EVENT}, user_id % 2 as batch from b_raw_clickstream",
-        "micro_batch": "select event_type, count(*) as n_rows from b_raw_clickstream group by event_type",
+        "micro_batch": """
+            select user_id % 2 as batch, event_type, count(*) as n_rows from b_raw_clickstream group by 1, 2""",
         "commit_after_write": f"select {EVENT} from b_raw_clickstream",
+        "replayed_load": f"select {EVENT} from b_raw_clickstream",
         "kafka_decode": f"select {EVENT} from b_raw_clickstream",
         "keyed_publish": "select session_id as key, event_type, user_id from b_raw_clickstream",
         "dedup_events": """

@@ -51,7 +51,7 @@ def test_second_load_reads_only_the_new_file(spark, tmp_path):
     land(landing, "b.ndjson", [GOOD])
     ingest.ingest_new(spark, str(landing), table, position)
     ingest.ingest_new(spark, str(landing), table, position)
-    assert sorted(r["count"] for r in spark.read.parquet(table).groupBy("batch").count().collect()) == [1, 3]
+    assert sorted(r["count"] for r in ingest.read_batches(spark, table).groupBy("batch").count().collect()) == [1, 3]
 
 
 def test_failed_write_is_repeated_and_nothing_is_doubled(spark, tmp_path):
@@ -59,10 +59,10 @@ def test_failed_write_is_repeated_and_nothing_is_doubled(spark, tmp_path):
     land(landing, "a.ndjson", [GOOD])
 
     def crash(batch, number):
-        ingest.save_batch(table, batch, number, "0")
+        ingest.save_events(table, batch, number)
         raise RuntimeError("lost after the write")
 
-    stream = clicks.parse_clickstream(clicks.stream_ndjson(spark, str(landing)))
+    stream = ingest.stream_landing(spark, str(landing))
     with pytest.raises(Exception, match="lost after the write"):
         ingest.drain(stream, position, crash)
     ingest.ingest_new(spark, str(landing), table, position)
@@ -81,6 +81,46 @@ def test_long_running_query_flushes_by_time(spark, tmp_path):
     assert ingest.read_ingested(spark, table).count() == 1
 
 
+def test_replay_under_a_new_checkpoint_replaces(spark, tmp_path):
+    """Old files that are gone keep the rows of the load that read them; all others count once, by the newest load."""
+    landing, table = tmp_path / "a b+c", str(tmp_path / "table")
+    for name, lines in (("a.ndjson", LINES), ("b.ndjson", [GOOD]), ("c.ndjson", [GOOD, "{broken"])):
+        land(landing, name, lines)
+        ingest.ingest_new(spark, str(landing), table, str(tmp_path / "one"))
+    (landing / "b.ndjson").rename(tmp_path / "kept.ndjson")
+    land(landing, "d.ndjson", [GOOD])
+    ingest.ingest_new(spark, str(landing), table, str(tmp_path / "two"))
+    assert ingest.read_ingested(spark, table).count() == 3 + 1 + 1 + 1
+    assert ingest.read_rejects(spark, table).count() == 4 + 1
+    assert ingest.waiting_files(spark, str(landing), table).count() == 0
+    loads = ingest.read_batches(spark, table).select("load").distinct().count()
+    assert loads == 2 and ingest.read_manifest(spark, table).count() == 4
+
+
+def test_an_attempt_that_was_not_entered_is_invisible(spark, tmp_path):
+    landing, table = tmp_path / "in", str(tmp_path / "table")
+    land(landing, "a.ndjson", [GOOD])
+    ingest.ingest_new(spark, str(landing), table, str(tmp_path / "position"))
+    taken = ingest.read_batches(spark, table).select("load").first()[0]
+    spark.read.parquet(f"{table}/load={taken}/batch=0").write.partitionBy("accepted").parquet(f"{table}/load={taken}/batch=1")
+    assert ingest.read_ingested(spark, table).count() == 1
+
+
+def test_flush_by_size_or_age(spark, tmp_path):
+    landing, place = tmp_path / "in", (str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "position"))
+    landing.mkdir()
+    assert not ingest.flush_when_due(spark, *place, enough_bytes=0, seconds=0)
+    land(landing, "a.ndjson", [GOOD] * 10)
+    size = (landing / "a.ndjson").stat().st_size
+    assert not ingest.flush_when_due(spark, *place, enough_bytes=size + 1, seconds=3600)
+    assert ingest.flush_when_due(spark, *place, enough_bytes=size, seconds=3600)
+    land(landing, "b.ndjson", [GOOD])
+    assert not ingest.flush_when_due(spark, *place, enough_bytes=size, seconds=3600)
+    later = dt.datetime.now() + dt.timedelta(hours=2)
+    assert ingest.flush_when_due(spark, *place, enough_bytes=size, seconds=3600, now=later)
+    assert ingest.read_ingested(spark, place[1]).count() == 11
+
+
 def test_rejects_stay_beside_the_table(spark, tmp_path):
     landing, table = tmp_path / "in", str(tmp_path / "table")
     land(landing, "a.ndjson", [GOOD, "{broken"])

@@ -424,7 +424,7 @@ def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     _landed_in_two(
         spark, folder, lambda landing: ingest.ingest_new(spark, landing, f"{state}/table", f"{state}/position")
     )
-    loaded = spark.read.parquet(f"{state}/table")
+    loaded = ingest.read_batches(spark, f"{state}/table")
     return loaded.select(*TYPED_COLUMNS, F.col("batch").cast("bigint").alias("batch"))
 
 
@@ -436,23 +436,47 @@ def _incremental_ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _micro_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """All events, loaded in batches of one file each."""
+    """Events per micro-batch. Those of even users are flushed as there are enough of them; a second file is too small
+    to be flushed, until it has waited long enough, by when a third one has come."""
     state = shared_folder(spark, "micro")
-    landing = _landed_in_two(spark, folder, lambda _: None)
-    ingest.ingest_new(spark, landing, f"{state}/table", f"{state}/position", files_per_batch=1)
-    return ingest.read_ingested(spark, f"{state}/table").groupBy("event_type").agg(F.count("*").alias("n_rows"))
+    landing, events = f"{state}/landing", _raw_events(spark, folder)
+    place = (spark, landing, f"{state}/table", f"{state}/position")
+    clicks.write_ndjson(events.where("user_id % 2 = 0"), landing, "0")
+    ingest.flush_when_due(*place, enough_bytes=1, seconds=3600)
+    for rest in (1, 3):
+        clicks.write_ndjson(events.where(f"user_id % 4 = {rest}"), landing, str(rest))
+        ingest.flush_when_due(*place, enough_bytes=1 << 50, seconds=3600)
+    ingest.flush_when_due(*place, enough_bytes=1 << 50, seconds=0)
+    loaded = ingest.read_batches(spark, f"{state}/table")
+    return loaded.groupBy(F.col("batch").cast("bigint").alias("batch"), "event_type").agg(F.count("*").alias("n_rows"))
 
 
 def _commit_after_write(spark: SparkSession, folder: str) -> DataFrame:
-    """A load whose batch was already written once, as after a crash before the commit; nothing appears twice."""
+    """A load that is lost after it wrote a batch and before the position moved, and is then repeated; nothing appears
+    twice."""
     state = shared_folder(spark, "commit")
     landing = _landed_in_two(spark, folder, lambda _: None)
-    text = clicks.read_ndjson(spark, f"{landing}/clickstream_batch_0")
-    ingest.save_batch(f"{state}/table", clicks.parse_clickstream(text), 0, "0")
+
+    def lost(batch: DataFrame, number: int) -> None:
+        ingest.save_events(f"{state}/table", batch, number)
+        raise RuntimeError("lost after the write")
+
+    with contextlib.suppress(Exception):
+        ingest.drain(ingest.stream_landing(spark, landing), f"{state}/position", lost)
     ingest.ingest_new(spark, landing, f"{state}/table", f"{state}/position")
     return ingest.read_ingested(spark, f"{state}/table").select(*TYPED_COLUMNS)
 
 
+def _replayed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that were loaded one by one, and all of them again under a new checkpoint, as if the first was lost: the
+    rows of one load."""
+    state = shared_folder(spark, "replay")
+    landing = _landed_in_two(spark, folder, lambda _: None)
+    ingest.ingest_new(spark, landing, f"{state}/table", f"{state}/position", files_per_batch=1)
+    ingest.ingest_new(spark, landing, f"{state}/table", f"{state}/new_position")
+    return ingest.read_ingested(spark, f"{state}/table").select(*TYPED_COLUMNS)
+
+
 def _kafka_decode(spark: SparkSession, folder: str) -> DataFrame:
     """Messages as a topic delivers them (binary key and value), decoded and typed."""
     sent = clicks.as_messages(_raw_events(spark, folder)).selectExpr(
@@ -489,6 +513,7 @@ CLICKSTREAM: dict[str, Query] = {
     "incremental_ingest_rejects": _incremental_ingest_rejects,
     "micro_batch": _micro_batch,
     "commit_after_write": _commit_after_write,
+    "replayed_load": _replayed_load,
     "kafka_decode": _kafka_decode,
     "keyed_publish": _keyed_publish,
     "dedup_events": _dedup_events,

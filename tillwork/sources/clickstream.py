@@ -76,6 +76,24 @@ def rejected_clickstream(text: DataFrame) -> DataFrame:
     return typed.where(~_accepted()).drop("typed")
 
 
+REJECTED = TEXT_EVENT
+
+
+def judged_clickstream(text: DataFrame, *carried: str) -> DataFrame:
+    """All text events in one pass: ``accepted`` tells which rows the landing table takes; those have its columns, the
+    others their text fields in ``rejected``. ``carried`` columns go along."""
+    typed = text.withColumn("typed", F.struct(*[_typed(name).alias(name) for name in EVENT_FIELDS]))
+    judged = typed.withColumn("accepted", _accepted())
+    taken = F.col("accepted")
+    return judged.select(
+        *[F.when(taken, F.col(f"typed.{name}")).alias(name) for name in EVENT_FIELDS],
+        F.when(taken, F.current_timestamp().cast("timestamp_ntz")).alias("_ingested_at"),
+        F.when(~taken, F.struct(*TEXT_EVENT.names)).alias("rejected"),
+        *carried,
+        "accepted",
+    )
+
+
 def as_json(events: DataFrame) -> DataFrame:
     """One JSON text per event, without NULL fields."""
     return events.select(F.to_json(F.struct(*EVENT_FIELDS)).alias("value"))

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class SchemaDrift(ValueError):
     """A mart no longer has the columns that its view was declared with."""
 
 
+def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table whose folders may carry some of its columns; without rows before the first write."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_mart(df: DataFrame, path: str, cluster_by: Sequence[str], partitions: int | None = None) -> None:
     """Full rebuild, clustered so that filters on the leading columns skip row groups.
 

@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwork.sources.files import listed_files, source_file
+from tillwork.sources.tables import read_stored
 from tillwork.streaming.ingest import drain
 
 # --- fixed values: captured tables by refresh task, in the order of the tasks, and the audit names -----------------
@@ -83,17 +84,7 @@ def append_log(
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All audit rows, with the name of their run in ``run``."""
     schema = T.StructType([*RUN_LOG.fields, T.StructField("run", T.StringType())])
-    return _stored(spark, path, schema)
-
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table whose folders carry some of its columns; empty before the first write."""
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return read_stored(spark, path, schema)
 
 
 def new_rows(
@@ -117,7 +108,7 @@ def append_stream(
 
 
 def read_ledger(spark: SparkSession, state: str) -> DataFrame:
-    return _stored(spark, f"{state}/ledger", T.StructType.fromDDL(LEDGER))
+    return read_stored(spark, f"{state}/ledger", T.StructType.fromDDL(LEDGER))
 
 
 def new_files(spark: SparkSession, tables: Tables, state: str) -> dict[str, list[str]]:
@@ -125,8 +116,7 @@ def new_files(spark: SparkSession, tables: Tables, state: str) -> dict[str, list
     read. Only names of new files come to the driver, as for any scan."""
     listed = []
     for table, (folder, _) in tables.items():
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(folder)
-        listed.append(files.where("length > 0").select(F.lit(table).alias("table_name"), F.col("path").alias("file")))
+        listed.append(listed_files(spark, folder).select(F.lit(table).alias("table_name"), "file"))
     if not listed:
         return {}
     known = read_ledger(spark, state).select("table_name", "file")
@@ -145,8 +135,7 @@ def count_files(spark: SparkSession, tables: Tables, waiting: Mapping[str, list[
     for table, files in waiting.items():
         if files:
             read = spark.read.schema(tables[table][1]).parquet(*files)
-            named = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # as files are listed
-            parts.append(read.select(F.lit(table).alias("table_name"), named.alias("file"), F.lit(1).alias("n")))
+            parts.append(read.select(F.lit(table).alias("table_name"), source_file().alias("file"), F.lit(1).alias("n")))
     return reduce(DataFrame.unionByName, parts).groupBy("table_name", "file").agg(F.sum("n").alias("n_rows"))
 
 

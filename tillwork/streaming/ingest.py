@@ -1,36 +1,93 @@
-"""Incremental load of arriving clickstream files, and the same micro-batch rules for any streaming source."""
+"""Incremental load of arriving clickstream files, and the same micro-batch rules for any streaming source.
+
+A landing table is a folder of batches beside a manifest. A batch is written, then entered in the manifest with the files
+it came from, and only then the position in the source moves. Readers follow the manifest: an attempt that was never
+entered is invisible, a repeated batch replaces itself, and where files were loaded again under a new checkpoint the
+newest load of each file counts.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tillwork.fixed_values import FLUSH_SECONDS
-from tillwork.sources.clickstream import parse_clickstream, rejected_clickstream, stream_ndjson
+from tillwork.sources.clickstream import REJECTED, judged_clickstream, stream_ndjson
+from tillwork.sources.files import listed_files, source_file
+from tillwork.sources.tables import read_stored
 
+SOURCE = "_source_file"
+MANIFEST = T.StructType(
+    [
+        T.StructField("written_at", T.TimestampType()),
+        T.StructField("files", T.ArrayType(T.StringType())),
+        T.StructField("load", T.StringType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
 
-def save_batch(table: str, batch: DataFrame, batch_id: int, load: str) -> None:
-    """Writes a micro-batch to its own partition, replacing what an interrupted attempt left there.
 
-    ``load`` keeps the batches of a new checkpoint, which count from 0 again, apart from older ones.
-    """
-    batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/load={load}/batch={batch_id}")
+def _of_batch(root: str, load: str, number: int) -> str:
+    return f"{root.rstrip('/')}/load={load}/batch={number}"
+
+
+def manifest_of(table: str) -> str:
+    return f"{table.rstrip('/')}_manifest"
+
+
+def save_events(table: str, text: DataFrame, number: int, load: str | None = None) -> None:
+    """Writes a batch of text events in one pass, those that are broken or incomplete apart from the others, and then
+    enters it in the manifest. ``load`` is by default the id that the checkpoint gives its query: batches of another
+    checkpoint, which count from 0 again, stay apart."""
+    spark = text.sparkSession
+    load = load or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if SOURCE not in text.columns:
+        text = text.withColumn(SOURCE, F.lit(None).cast("string"))
+    judged = judged_clickstream(text, SOURCE)
+    folder = _of_batch(table, load, number)
+    judged.write.mode("overwrite").partitionBy("accepted").parquet(folder)
+    written = read_stored(spark, folder, judged.schema)
+    files = written.agg(F.collect_set(SOURCE).alias("files"))  # the files of one batch
+    entry = files.select(F.current_timestamp().alias("written_at"), "files").coalesce(1)
+    entry.write.mode("overwrite").parquet(_of_batch(manifest_of(table), load, number))
+
+
+def read_manifest(spark: SparkSession, table: str) -> DataFrame:
+    return read_stored(spark, manifest_of(table), MANIFEST)
+
+
+def _rows(spark: SparkSession, table: str) -> DataFrame:
+    """All rows that count, accepted and rejected, with their batch and load."""
+    sample = spark.createDataFrame([], T.StructType([*REJECTED.fields, T.StructField(SOURCE, T.StringType())]))
+    schema = T.StructType([*judged_clickstream(sample, SOURCE).schema.fields, *MANIFEST.fields[2:]])
+    rows = read_stored(spark, table, schema)
+    entered = read_manifest(spark, table)
+    started = entered.groupBy("load").agg(F.min("written_at").alias("started"))
+    of_file = entered.select("load", F.explode("files").alias(SOURCE)).distinct().join(started, "load")
+    newest = Window.partitionBy(SOURCE).orderBy(F.col("started").desc(), F.col("load").desc())
+    owner = of_file.withColumn("nth", F.row_number().over(newest)).where("nth = 1").select(SOURCE, F.col("load").alias("owner"))
+    seen = rows.join(entered.select("load", "batch"), ["load", "batch"], "left_semi")
+    return seen.join(owner, SOURCE, "left").where(F.col(SOURCE).isNull() | (F.col("owner") == F.col("load"))).drop("owner")
+
 
+def read_batches(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of a landing table with ``load`` and ``batch``."""
+    return _rows(spark, table).where("accepted").drop("accepted", "rejected", SOURCE)
 
-def rejects_of(table: str) -> str:
-    """The folder beside a landing table that keeps the events which it did not take."""
-    return f"{table.rstrip('/')}_rejects"
+
+def read_ingested(spark: SparkSession, table: str) -> DataFrame:
+    return read_batches(spark, table).drop("load", "batch")
 
 
-def save_events(table: str, text: DataFrame, batch_id: int, load: str) -> None:
-    """Writes the events of a batch of text fields, and those that are broken or incomplete beside them. Both are
-    written before the position moves, so accepted and rejected events together are all that arrived."""
-    save_batch(table, parse_clickstream(text), batch_id, load)
-    save_batch(rejects_of(table), rejected_clickstream(text), batch_id, load)
+def read_rejects(spark: SparkSession, table: str) -> DataFrame:
+    """Events that the table did not take, as text fields."""
+    return _rows(spark, table).where("not accepted").select("rejected.*")
 
 
 def _writer(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> DataStreamWriter:
@@ -38,15 +95,16 @@ def _writer(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int],
 
 
 def start_micro_batches(
-    stream: DataFrame, table: str, checkpoint: str, load: str, seconds: int = FLUSH_SECONDS
+    stream: DataFrame, table: str, checkpoint: str, load: str | None = None, seconds: int | None = None
 ) -> StreamingQuery:
-    """Long-running query over text events: a micro-batch at most every ``seconds``, with its rejects beside the table;
-    limits per batch belong to the source.
+    """Long-running query over text events, with its rejects beside them.
 
-    Progress is committed to the checkpoint only after the batch was written, so a failed write is repeated.
+    By default a micro-batch starts as soon as the source offers one: a topic read by ``kafka.read_topic`` does when
+    enough messages wait or the oldest has waited long enough, whichever comes first. ``seconds`` sets a fixed rhythm
+    for sources without such a rule. Progress is committed only after the batch was written, so a failed write repeats.
     """
     writer = _writer(stream, checkpoint, lambda batch, number: save_events(table, batch, number, load))
-    return writer.trigger(processingTime=f"{seconds} seconds").start()
+    return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer).start()
 
 
 def start_drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -63,21 +121,45 @@ def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], N
         query.stop()
 
 
+def stream_landing(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+    """Text events of a landing folder and its subfolders, with the file that each came in."""
+    options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
+    return stream_ndjson(spark, landing, recursiveFileLookup="true", **options).withColumn(SOURCE, source_file())
+
+
 def ingest_new(
-    spark: SparkSession, landing: str, table: str, checkpoint: str, load: str = "0", files_per_batch: int | None = None
+    spark: SparkSession, landing: str, table: str, checkpoint: str, load: str | None = None, files_per_batch: int | None = None
 ) -> None:
     """Loads the files that are new since the last call with this checkpoint into the landing table."""
-    options = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
-    text = stream_ndjson(spark, landing, recursiveFileLookup="true", **options)  # batches are written in subfolders
+    text = stream_landing(spark, landing, files_per_batch)
     drain(text, checkpoint, lambda batch, number: save_events(table, batch, number, load))
 
 
-def read_rejects(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(rejects_of(table)).drop("load", "batch")
-
-
-def read_ingested(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table).drop("load", "batch")
+def waiting_files(spark: SparkSession, landing: str, table: str) -> DataFrame:
+    """(file, length, modified) of landed files that no batch of the table has taken."""
+    taken = read_manifest(spark, table).select(F.explode("files").alias("file")).distinct()
+    return listed_files(spark, landing, below=True).join(taken, "file", "left_anti")
+
+
+def flush_when_due(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    enough_bytes: int,
+    seconds: int = FLUSH_SECONDS,
+    now: dt.datetime | None = None,
+) -> bool:
+    """One micro-batch of all waiting files if they hold ``enough_bytes`` or the oldest has waited for ``seconds``; says
+    whether there was one. For a scheduler that calls it again and again: files have no trigger by size or age."""
+    at = F.current_timestamp() if now is None else F.lit(now)
+    waiting = waiting_files(spark, landing, table).agg(
+        F.sum("length").alias("bytes"), (F.unix_timestamp(at) - F.unix_timestamp(F.min("modified"))).alias("age")
+    ).first()
+    if waiting["bytes"] is None or (waiting["bytes"] < enough_bytes and waiting["age"] < seconds):
+        return False
+    ingest_new(spark, landing, table, checkpoint)
+    return True
 
 
 def dedup_events(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
