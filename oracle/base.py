@@ -105,7 +105,11 @@ RAW = {
                if(n_nationkey % 7 = 5, 'Y', 'N') as p_channel_demo
         from nation""",
     "days": """
-        select cast(d as date) as d from generate_series(date '1990-01-01', date '2005-12-31', interval 1 day) g(d)""",
+        select cast(unnest(generate_series(
+                 least(date '1990-01-01', cast(date_trunc('year', min(d)) as date)),
+                 greatest(date '2005-12-31', cast(date_trunc('year', max(d) + interval 371 day) - interval 1 day as date)),
+                 interval 1 day)) as date) as d
+        from (select cast(o_orderdate as date) as d from orders union all select cast(l_shipdate as date) from lineitem)""",
     "b_date_dim": """
         select date_diff('day', date '1900-01-01', d) + 2415021 as d_date_sk, d as d_date, dayname(d) as d_day_name,
                (year(d) - 1900) * 12 + month(d) - 1 as d_month_seq, year(d) as d_year, month(d) as d_moy,

@@ -189,9 +189,15 @@ def report(checks: tuple) -> str:
     return " union all ".join(sql for check in checks for sql in _check_rows(check))
 
 
-def _counts(tables: tuple[str, ...], condition: str = "true") -> str:
+def _contents(tables: tuple[str, ...]) -> str:
+    """Rows and values per column; the column ``*`` stands for whole rows."""
     return " union all ".join(
-        f"select '{t}' as table_name, count(*) as n_rows from b_{t} where {condition}" for t in tables
+        f"""
+            select '{t}' as table_name, field.key as column_name, count(*) as n_rows,
+                   count(*) filter (field.type <> 'NULL') as n_values, true as same
+            from b_{t} as whole, json_each(to_json(whole)) as field group by field.key
+            union all select '{t}', '*', count(*), count(*), true from b_{t}"""
+        for t in tables
     )
 
 
@@ -236,6 +242,7 @@ KEPT = {
     "item": "i_item_sk is not null",
     "customer": "c_customer_sk is not null",
     "customer_address": "ca_address_sk is not null",
+    "date_dim": "d_date_sk is not null",
     "promotion": "p_promo_sk is not null",
     "store": "s_store_sk is not null",
     "raw_clickstream": "event_type in ('page_view', 'add_to_cart', 'purchase') "
@@ -271,14 +278,10 @@ def oracle_sql() -> dict[str, str]:
           on r.item_id = s.item_id and r.ticket_number = s.ticket_number and r.return_channel = s.channel"""
     event_times = "timestamp '2024-02-01 00:00:00'"
     plain: dict[str, str] = {
-        **{f"bronze_{t}": doubles(f"b_{t}", *raw_money.get(t, ())) for t in RAW_TABLES if t != "date_dim"},
+        **{f"bronze_{t}": doubles(f"b_{t}", *raw_money.get(t, ())) for t in RAW_TABLES},
         "raw_clickstream": "select * from b_raw_clickstream",
-        **{f"stg_{t}": doubles(f"s_{t}", *staged_money.get(t, ())) for t in RAW_TABLES if t != "date_dim"},
+        **{f"stg_{t}": doubles(f"s_{t}", *staged_money.get(t, ())) for t in RAW_TABLES},
         "stg_clickstream": "select * from s_clickstream",
-        "stg_date_dim": """
-            select * from s_date_dim
-            where calendar_date in (select cast(o_orderdate as date) from orders
-                                    union select cast(l_shipdate as date) from lineitem)""",
         "sales_union": doubles("m_sales", *SALES_MONEY),
         "returns_union": doubles("m_returns", *RETURN_MONEY),
         "int_unified_sales": doubles(
@@ -302,7 +305,7 @@ def oracle_sql() -> dict[str, str]:
         "baseline_sales": "select * from m_baseline",
         **{f"mart_{m}": f"select * from m_{m}" for m in MARTS},
         "snapshot_input": "select * from m_customers",
-        "bronze_copy": _counts(RAW_TABLES),
+        "bronze_copy": _contents((*RAW_TABLES, "raw_clickstream")),
         "key_summaries": """
             select customer_id, count(*) as n, any_value(n_rows) as n_rows
             from (
@@ -424,7 +427,16 @@ def oracle_sql() -> dict[str, str]:
             from ({_task_counts()}) where task_name <> 'refresh_sales_task'
             union all select unnest(['first', 'third']), 'root_refresh_task', 'RUNNING', null
             union all select 'third', 'log_completion_task — pipeline complete', 'SUCCESS', null""",
+        "layered_run_published": " union all ".join(
+            f"select 'mv_{m}' as view_name, count(*) as n_rows from m_{m}" for m in MARTS
+        ),
         "layered_run": f"""
+            select 'bronze' as layer, unnest({[f"same_contents.{t}" for t in (*RAW_TABLES, "raw_clickstream")]}) as check_name,
+                   0 as failures
+            union all
+            select 'silver', 'freshness.raw_clickstream._ingested_at',
+                   cast(date_diff('second', max(_ingested_at), timestamp '2024-02-01') / 3600 > 49 as bigint) from b_raw_clickstream
+            union all
             select 'silver' as layer, check_name, failures from ({report(STAGING_CHECKS)})
             union all
             select 'gold', check_name, failures from ({report(MART_CHECKS)})

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tillwork.plans.layers import layered_run
 from tillwork.plans.marts import CLUSTERED_BY
 from tillwork.operators.quality import CheckFailed
-from tillwork.sources import DerivedBronze
+from tillwork.sources import DerivedBronze, compare_contents
 from tillwork.sources import clickstream as clicks
-from tillwork.sources.tables import SchemaDrift, serving_view, write_mart
+from tillwork.sources.tables import SchemaDrift, publish_view, published_folder, serving_view, write_mart
 from tillwork.streaming import changes, ingest
 
 GOOD = '{"session_id":"s1","user_id":"7","item_id":12,"event_type":"purchase","event_timestamp":"2024-01-01 10:00:00"}'
@@ -200,6 +200,68 @@ def test_serving_view_notices_drift(spark, tmp_path):
         serving_view(spark, "mv_test", path, expected=df.withColumn("w", F.lit(1)))
 
 
+def test_changed_contents_are_seen(spark, folder, tmp_path):
+    """One changed value, one lost row or two swapped values turn a column or the rows red; order doesn't."""
+    before = spark.createDataFrame([(1, "a", 1.5), (2, "b", None), (2, "b", None)], "k long, v string, x double")
+    red = lambda after: {r.column_name for r in compare_contents(before, after).where("not same").collect()}
+    assert red(before.orderBy(F.desc("k"))) == set()
+    assert red(before.withColumn("v", F.expr("if(k = 1, 'c', v)"))) == {"v", "*"}
+    assert red(before.limit(2)) == {"k", "v", "x", "*"}
+    swapped = spark.createDataFrame([(1, "b", 1.5), (2, "a", None), (2, "b", None)], "k long, v string, x double")
+    assert red(swapped) == {"*"}
+    assert red(spark.createDataFrame([], before.schema)) == {"k", "v", "x", "*"}
+
+
+def test_a_bad_copy_or_a_repeated_dimension_key_stops_the_run(spark, folder, tmp_path, monkeypatch):
+    from tillwork.plans import layers
+
+    options = {"as_of": dt.date(2002, 1, 1), "loaded_at": dt.datetime(2024, 1, 1), "must_pass": False}
+    sources = dict(DerivedBronze(spark, folder).items())
+    twice = {**sources, "item": sources["item"].unionByName(sources["item"].limit(1))}
+    with pytest.raises(CheckFailed, match="Stopped at silver: unique.stg_item.item_id"):
+        layered_run(spark, twice, str(tmp_path / "twice"), **options)
+    assert not (tmp_path / "twice" / "gold").exists()
+    real = layers.copy_bronze
+
+    def losing(spark, sources, root, names):
+        return real(spark, {**sources, "store": sources["store"].limit(3)}, root, names)
+
+    monkeypatch.setattr(layers, "copy_bronze", losing)
+    with pytest.raises(CheckFailed, match="Stopped at bronze: same_contents.store"):
+        layered_run(spark, sources, str(tmp_path / "lost"), **options)
+
+
+def test_published_views_move_and_are_seen_by_other_sessions(spark, tmp_path):
+    first, second = str(tmp_path / "one/mart"), str(tmp_path / "two/mart")
+    spark.range(5).write.parquet(first)
+    spark.range(9).write.parquet(second)
+    publish_view(spark, "mv_moving", first, expected=spark.range(1))
+    other = spark.newSession()
+    assert other.table("mv_moving").count() == 5 and published_folder(other, "mv_moving") == first
+    begun = other.table("mv_moving")
+    publish_view(spark, "mv_moving", second)
+    assert other.table("mv_moving").count() == 9 and begun.count() == 5
+    with pytest.raises(SchemaDrift):
+        publish_view(spark, "mv_moving", first, expected=spark.range(1).withColumn("w", F.lit(1)))
+    assert published_folder(spark, "mv_moving") == second and published_folder(spark, "mv_nowhere") is None
+    spark.sql("drop view mv_moving")
+
+
+def test_the_calendar_spans_the_files(spark, folder, tmp_path):
+    """Sales outside the usual calendar keep their date."""
+    for name in ("orders", "lineitem"):
+        table = spark.read.parquet(f"{folder}/{name}.parquet")
+        day = "o_orderdate" if name == "orders" else "l_shipdate"
+        late = F.expr(f"if({name[0]}_orderkey % 10 = 3, {day} + interval 12 years, {day})")
+        table.withColumn(day, late).write.parquet(str(tmp_path / f"{name}.parquet"))
+    raw = DerivedBronze(spark, str(tmp_path))
+    ends = raw["date_dim"].agg(F.min("d_date"), F.max("d_date"), F.count("*"), F.countDistinct("d_date")).first()
+    assert ends[0] == dt.date(1990, 1, 1) and ends[1].year >= 2013 and (ends[1].month, ends[1].day) == (12, 31)
+    assert ends[2] == ends[3] == (ends[1] - ends[0]).days + 1
+    sold, days = raw["store_sales"], raw["date_dim"]
+    assert sold.join(days, sold["ss_sold_date_sk"] == days["d_date_sk"], "left_anti").where("ss_sold_date_sk is not null").count() == 0
+
+
 def test_layers_publish_only_what_passes(spark, folder, tmp_path):
     options = {"as_of": dt.date(2002, 1, 1), "loaded_at": dt.datetime(2024, 1, 1)}
     sources = DerivedBronze(spark, folder)
@@ -212,7 +274,7 @@ def test_layers_publish_only_what_passes(spark, folder, tmp_path):
         previous_history=str(tmp_path / "one/history/customer_snapshot"),
         fresh_as_of=dt.datetime(2024, 1, 1), **options,
     )
-    assert report.count() == 69
+    assert report.count() == 69 + 13
     for mart in CLUSTERED_BY:
         assert not spark.table(mart.replace("mart_", "mv_")).isEmpty()
     history = spark.read.parquet(str(tmp_path / "two/history/customer_snapshot"))

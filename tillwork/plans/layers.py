@@ -13,14 +13,46 @@ from tillwork.fixed_values import Thresholds
 from tillwork.operators import history, quality
 from tillwork.plans.marts import CLUSTERED_BY
 from tillwork.plans.warehouse import MART_NAMES, Warehouse
-from tillwork.sources.bronze import copy_bronze
-from tillwork.sources.tables import serving_view, write_mart
+from tillwork.sources.bronze import compare_contents, copy_bronze
+from tillwork.sources.tables import publish_view, serving_view, write_mart
 
 
-def _view_name(mart: str) -> str:
+ASSERTED = ("assert_net_revenue_not_negative", "assert_all_channels_present")
+ALL_CHECKS = tuple(c.name for c in (*quality.STAGING_CHECKS, *quality.MART_CHECKS)) + ASSERTED
+
+
+def view_name(mart: str) -> str:
     return mart.replace("mart_", "mv_", 1)
 
 
+DIMENSION_KEYS = tuple(
+    f"unique.{model}.{column}"
+    for model, column in (
+        ("stg_item", "item_id"),
+        ("stg_customer", "customer_id"),
+        ("stg_customer_address", "address_id"),
+        ("stg_date_dim", "date_sk"),
+        ("stg_promotion", "promotion_id"),
+        ("stg_store", "store_id"),
+    )
+)
+
+
+def _changed(table: str, before: DataFrame, after: DataFrame) -> DataFrame:
+    """One check of a copy: how many of its columns don't hold what they held in the source."""
+    differing = compare_contents(before, after).agg(F.count_if(~F.col("same")).alias("failures"))
+    return differing.select(F.lit(f"same_contents.{table}").alias("check_name"), "failures")
+
+
+def _stop_if_failed(spark: SparkSession, root: str, layer: str, names: Iterable[str] | None = None) -> None:
+    report = spark.read.parquet(f"{root}/checks/layer={layer}").where("failures > 0")
+    if names is not None:
+        report = report.where(F.col("check_name").isin(*names))
+    failed = [f"{row['check_name']} ({row['failures']})" for row in report.collect()]  # one small row per check
+    if failed:
+        raise quality.CheckFailed(f"Stopped at {layer}: " + ", ".join(sorted(failed)))
+
+
 def _report(layer: str, df: DataFrame) -> DataFrame:
     return df.select(F.lit(layer).alias("layer"), F.col("check_name"), F.col("failures"))
 
@@ -37,15 +69,24 @@ def layered_run(
     limits: Thresholds | None = None,
     tolerated: Iterable[str] = (),
     must_pass: bool = True,
+    publish: bool = False,
 ) -> DataFrame:
     """Runs all layers into the new folder ``root`` and gives back the failures per check.
 
     Each run has its own folder, so a failed run leaves the published one untouched. The sales lines, which three
     marts read, are computed and stored once. Views move to this run only if no check outside ``tolerated`` fails;
     with ``must_pass`` such a failure is raised after everything was reported. ``fresh_as_of`` adds the age of the
-    clickstream to the checks.
+    clickstream to the checks. With ``publish`` the views are those of the catalog, which other sessions see; else they
+    are this session's.
+
+    Two gates stop a run early, before costly work on bad ground: copied raw tables that don't hold what their sources
+    held, and dimensions whose key repeats, which would multiply every row that looks them up.
     """
     raw = copy_bronze(spark, sources, f"{root}/bronze", tuple(sources))
+    copied = [_changed(table, sources[table], raw[table]) for table in raw]
+    bronze = reduce(DataFrame.unionByName, copied)
+    bronze.write.mode("overwrite").parquet(f"{root}/checks/layer=bronze")
+    _stop_if_failed(spark, root, "bronze")
     house = Warehouse(raw, as_of=as_of, limits=limits)
     staged = {f"stg_{table.removeprefix('raw_')}": house.staged(table) for table in raw}
     silver = quality.run_checks(staged, quality.STAGING_CHECKS)
@@ -56,6 +97,7 @@ def layered_run(
             stale.select(F.lit("freshness.raw_clickstream._ingested_at").alias("check_name"), count.alias("failures"))
         )
     _report("silver", silver).write.mode("overwrite").parquet(f"{root}/checks/layer=silver")
+    _stop_if_failed(spark, root, "silver", DIMENSION_KEYS)
 
     house.sales_lines.write.mode("overwrite").parquet(f"{root}/intermediate/sales_lines")
     shared = Warehouse(raw, as_of=as_of, limits=limits, lines=spark.read.parquet(f"{root}/intermediate/sales_lines"))
@@ -73,10 +115,10 @@ def layered_run(
     revenue = marts["mart_daily_revenue"]
     asserted = [
         quality.dq_net_revenue_not_negative(revenue).agg(F.count("*").alias("failures")).select(
-            F.lit("assert_net_revenue_not_negative").alias("check_name"), "failures"
+            F.lit(ASSERTED[0]).alias("check_name"), "failures"
         ),
         quality.dq_all_channels_present(revenue).agg(F.count("*").alias("failures")).select(
-            F.lit("assert_all_channels_present").alias("check_name"), "failures"
+            F.lit(ASSERTED[1]).alias("check_name"), "failures"
         ),
     ]
     gold = reduce(DataFrame.unionByName, [quality.run_checks(marts, quality.MART_CHECKS), *asserted])
@@ -86,8 +128,9 @@ def layered_run(
     blocking = report.where((F.col("failures") > 0) & ~F.col("check_name").isin(*tolerated, ""))
     failed = [f"{row['check_name']} ({row['failures']})" for row in blocking.collect()]  # one small row per check
     if not failed:
+        show = publish_view if publish else serving_view
         for name in MART_NAMES:
-            serving_view(spark, _view_name(name), f"{root}/gold/{name}", expected=shared.mart(name))
+            show(spark, view_name(name), f"{root}/gold/{name}", expected=shared.mart(name))
     elif must_pass:
         raise quality.CheckFailed("Not published: " + ", ".join(sorted(failed)))
     return report

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwork.operators import keys
@@ -88,3 +90,28 @@ def copy_bronze(
     copied = read_bronze(spark, root, names, summaries=True)
     keys.store_summaries(spark, copied, root)
     return copied
+
+
+def contents(df: DataFrame) -> DataFrame:
+    """(column_name, n_rows, n_values, digest): what each column holds, whatever the order of rows, and what the rows
+    hold as a whole in the column ``*``. One pass; equal multisets of values have equal digests."""
+    def summed(*columns: str) -> Column:
+        hashed = F.xxhash64(*columns)
+        return F.concat_ws("/", F.sum(hashed.cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), *columns)))
+
+    parts = {**{c: (F.count(c), summed(c)) for c in df.columns}, "*": (F.count("*"), summed(*df.columns))}
+    sums = df.agg(
+        F.count("*").alias("n_rows"),
+        *[F.struct(n.alias("n_values"), digest.alias("digest")).alias(f"_{i}") for i, (n, digest) in enumerate(parts.values())],
+    )
+    listed = [F.struct(F.lit(c).alias("column_name"), "n_rows", f"_{i}.n_values", f"_{i}.digest") for i, c in enumerate(parts)]
+    return sums.select(F.inline(F.array(*listed)))
+
+
+def compare_contents(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(column_name, n_rows, n_values, same) of ``after``: whether each column, and the rows as a whole, hold what they
+    held before."""
+    old = contents(before).select("column_name", *[F.col(c).alias(f"old_{c}") for c in ("n_rows", "n_values", "digest")])
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in ("n_rows", "n_values", "digest")])
+    both = contents(after).join(old, "column_name", "full")  # a row for each column
+    return both.select("column_name", "n_rows", "n_values", equal.alias("same"))

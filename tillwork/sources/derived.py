@@ -27,6 +27,8 @@ FILES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
+SPANS: dict[tuple[str, str], tuple[str, str]] = {}
+
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
 
@@ -36,7 +38,7 @@ STATES = (
     "MI", " ca ", "tx", "NV", "AZ", "CO", "VA", None, "MN", "WI", "UT", "ny ",
 )
 
-# --- fixed values: calendar limits and the number that date keys start from --------------------------------------
+# --- fixed values: least span of the calendar and the number that date keys start from ---------------------------
 CALENDAR = ("1990-01-01", "2005-12-31")
 DATE_KEY_EPOCH = "1900-01-01"
 DATE_KEY_OFFSET = 2415021
@@ -263,8 +265,22 @@ class DerivedBronze(Mapping):
         }
         return _select(self.file("nation"), columns)
 
+    def _span(self) -> tuple[str, str]:
+        """First and last day of the calendar: whole years around every date in the files, CALENDAR at least. Looked up
+        once per session and folder, from two columns, so that the calendar itself stays a short list of days."""
+        known = (self._spark.sparkContext.applicationId, self._folder)
+        if known not in SPANS:
+            placed = self.file("orders").selectExpr("cast(o_orderdate as date) as d")
+            shipped = self.file("lineitem").selectExpr("cast(l_shipdate as date) as d")
+            ends = placed.union(shipped).selectExpr(
+                f"least(date'{CALENDAR[0]}', cast(trunc(min(d), 'year') as date)) as first",
+                f"greatest(date'{CALENDAR[1]}', date_sub(trunc(date_add(max(d), 5 + 366), 'year'), 1)) as last",
+            ).first()  # goods come back five days after they were shipped
+            SPANS[known] = (str(ends["first"]), str(ends["last"]))
+        return SPANS[known]
+
     def _date_dim(self) -> DataFrame:
-        first, last = (f"date'{day}'" for day in CALENDAR)
+        first, last = (f"date'{day}'" for day in self._span())
         days = self._spark.range(1).selectExpr(f"explode(sequence({first}, {last})) as d_date")
         as_long = {
             "d_month_seq": "(year(d_date) - 1900) * 12 + month(d_date) - 1",
