@@ -461,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
               and (dbt_valid_to is null or dbt_valid_to > timestamp '2024-02-15')""",
         "scd2_facts_as_of": """
             select event_sk, e.customer_id as buyer, event_timestamp, city
-            from (select * from s_clickstream where event_type = 'purchase') e
+            from s_clickstream e
             left join history_three h on h.customer_id = e.customer_id and h.dbt_valid_from <= event_timestamp
                  and (h.dbt_valid_to is null or h.dbt_valid_to > event_timestamp)""",
     }

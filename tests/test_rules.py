@@ -232,6 +232,32 @@ def test_facts_meet_the_version_of_their_time(spark, spread):
     assert cities[2, t1] is None and cities[None, t1] is None and len(cities) == 6
 
 
+def test_facts_of_a_key_with_many_versions(spark):
+    """Equal to the range join; gaps between versions and facts without time or key have no version. Nothing is joined,
+    so work grows with facts and versions and not with their pairs."""
+    day = lambda column: F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval({column})")
+    versions = spark.range(400).select(
+        (F.col("id") % 2).alias("customer_id"), F.col("id").alias("version"), day("int(id * 3)").alias("dbt_valid_from"),
+        F.when(F.col("id") < 390, day("int(id * 3 + if(id % 5 = 0, 2, 6))")).alias("dbt_valid_to"),
+    )
+    facts = spark.range(3000).select(
+        F.col("id").alias("fact"),
+        F.when(F.col("id") % 17 != 0, F.expr("if(id % 3 = 0, id % 4, 1)")).alias("buyer"),
+        F.when(F.col("id") % 19 != 0, day("int(id % 1300 - 20)")).alias("at"),
+    )
+    known = (F.col("buyer") == F.col("customer_id")) & (F.col("dbt_valid_from") <= F.col("at"))
+    known &= F.col("dbt_valid_to").isNull() | (F.col("dbt_valid_to") > F.col("at"))
+    last = versions.groupBy("customer_id").agg(F.max("version").alias("version"))
+    versions = versions.where("dbt_valid_to is not null").unionByName(versions.where("dbt_valid_to is null").join(last, ["customer_id", "version"]))
+    want = sorted((r.fact, r.version) for r in facts.join(versions, known, "left").collect())
+    assert len(want) == 3000
+    busy = [r[0] for r in spark.range(1).select(F.xxhash64(F.lit(1).cast("bigint"))).collect()]
+    for hot in ([], busy, spark.createDataFrame([(busy[0],)], "key long")):
+        joined = history.join_as_of(facts, versions, "buyer", "at", hot=hot, ways=5)
+        assert sorted((r.fact, r.as_of_version) for r in joined.collect()) == want
+    assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 # --- quality --------------------------------------------------------------------------------------------------------
 
 

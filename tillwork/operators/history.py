@@ -6,10 +6,10 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.operators.lookup import Hot, lookup, spread_join
+from tillwork.operators.lookup import Hot, lookup, with_hot
 
 # --- fixed values: key and tracked columns of the customer history, and the names of the added columns -----------
 KEY = "customer_id"
@@ -115,16 +115,36 @@ def scd2_as_of(history: DataFrame, moment: Column) -> DataFrame:
 
 
 def join_as_of(
-    facts: DataFrame, history: DataFrame, key: str, moment: str, hot: Hot = None
+    facts: DataFrame, history: DataFrame, key: str, moment: str, hot: Hot = None, ways: int | None = None
 ) -> DataFrame:
-    """Facts with the version of their customer that was valid at the time of the fact.
+    """Facts with the version of their customer that was valid at the time of the fact, in columns ``as_of_*``.
 
-    An equi-join on the key with the validity range as residual; a key has few versions, so nothing explodes, and the
-    facts of a busy customer are spread.
+    Facts and versions are put in one order of time per key, and each fact takes the last version before it, if that is
+    still valid: one sort, linear also where a key has very many versions. The versions of a key don't overlap, as
+    ``scd2_merge`` keeps them. Facts of hot keys are spread over ``ways`` groups, each with all versions of the key;
+    facts without a key or a time have no version, and those without a key are spread.
     """
-    versions = history.select(*[F.col(c).alias(f"as_of_{c}") for c in history.columns])
-    at = F.col(moment)
-    valid = (F.col(f"as_of_{VALID_FROM}") <= at) & (
-        F.col(f"as_of_{VALID_TO}").isNull() | (F.col(f"as_of_{VALID_TO}") > at)
+    ways = ways or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.xxhash64(moment, *facts.columns[:1]), F.lit(ways)).cast("int")
+    own = with_hot(facts, [key], hot, "_hot").select(
+        F.col(key).alias("_key"),
+        F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0).alias("_group"),
+        F.col(moment).alias("_time"),
+        F.lit(1).alias("_kind"),
+        F.struct(*facts.columns).alias("_fact"),
     )
-    return spread_join(facts, versions, {key: f"as_of_{KEY}"}, spread_by=(moment,), also=valid, hot=hot)
+    version = F.struct(*[F.col(c).alias(f"as_of_{c}") for c in history.columns])
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    versions = with_hot(history.where(F.col(KEY).isNotNull()), [KEY], hot, "_hot").select(
+        F.col(KEY).alias("_key"),
+        F.explode(every).alias("_group"),
+        F.col(VALID_FROM).alias("_time"),
+        F.lit(0).alias("_kind"),
+        version.alias("_version"),
+    )
+    so_far = Window.partitionBy("_key", "_group").orderBy("_time", "_kind", F.col(f"_version.as_of_{VALID_TO}").asc_nulls_last())
+    before = F.last("_version", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = own.unionByName(versions, allowMissingColumns=True).withColumn("_last", before).where("_kind = 1")
+    ended = F.col(f"_last.as_of_{VALID_TO}") <= F.col("_time")
+    known = F.when(~F.coalesce(ended, F.lit(False)), F.col("_last"))
+    return both.withColumn("_last", known).select("_fact.*", "_last.*")

@@ -195,10 +195,12 @@ def _as_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _events_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Purchases with the city that their customer had at the time."""
-    bought = warehouse(spark, folder).staged("raw_clickstream").where("event_type = 'purchase'")
+    """All events with the city that their customer had at the time."""
     joined = history.join_as_of(
-        bought.withColumnRenamed("customer_id", "buyer"), _history(spark, folder), "buyer", "event_timestamp"
+        warehouse(spark, folder).staged("raw_clickstream").withColumnRenamed("customer_id", "buyer"),
+        _history(spark, folder),
+        "buyer",
+        "event_timestamp",
     )
     return joined.select("event_sk", "buyer", "event_timestamp", F.col("as_of_city").alias("city"))
 
