@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import grouped, settle, small_batches, starts_of, table, with_row_key
+from tillwork.llm.common import grouped, settle, small_batches, starts_of, table, tidy, with_row_key
 from tillwork.llm.features import pieces
 from tillwork.llm.words import INVERSE, PRIME, mixed, powers
 
@@ -259,7 +259,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
     """For rows (rid, doc_id, text) the digests of all rows (rid, doc_id, sha, n_bytes) and (rid, spans) where a byte is
     covered by a string of ``length`` bytes that starts elsewhere as well, or did so before."""
     signed = docs.select("rid", "doc_id", "text").mapInArrow(
-        lambda batches: sign(batches, length),
+        tidy(lambda batches: sign(batches, length)),
         f"rid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, sha binary, n_bytes long, runs array<struct<h:long,a:int,b:int,m:boolean>>",
     )
     signed = settle(signed, "repeat-signatures")
@@ -275,7 +275,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
     chosen = runs.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("h", "a", "b")).alias("runs"))
     pieces_of = docs.select("rid", "text").join(chosen, "rid").select("rid", "text", "runs")
     places = texts.select(F.col("first.rid").alias("owner"), F.col("first.doc_id").alias("d"))
-    found = pieces_of.mapInArrow(lambda batches: cut(batches, length), "h long, sk binary, owner long, at int, seg binary")
+    found = pieces_of.mapInArrow(tidy(lambda batches: cut(batches, length)), "h long, sk binary, owner long, at int, seg binary")
     found = settle(found, "repeat-stretches")
     found = found.join(places, "owner").withColumn("ord", F.struct("d", F.col("owner").alias("r"), F.col("at").alias("a"))).drop("d")
     unlike = settle(different(found), "different-stretches")
@@ -287,7 +287,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
     if is_hot:
         kind = unlike.schema["ord"].dataType.simpleString()
         finer = unlike.join(hot, "h").select(F.col("sk").alias("owner"), "seg", "ord").mapInArrow(
-            lambda batches: cut_finer(batches, length), f"h long, sk binary, owner binary, at int, seg binary, ord {kind}"
+            tidy(lambda batches: cut_finer(batches, length)), f"h long, sk binary, owner binary, at int, seg binary, ord {kind}"
         )
         finer = settle(finer, "finer-stretches")
         inner = place_spans(finer, _judge(different(finer), length, keep_first), keep_first)
@@ -307,7 +307,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
 def _judge(unlike: DataFrame, length: int, keep_first: bool) -> DataFrame:
     """Spans inside different stretches (h, sk, n, ord, seg)."""
     sent = unlike.select("h", "sk", "ord", "seg").repartition("h").sortWithinPartitions("h", "ord")
-    spans = sent.mapInArrow(lambda batches: judge(batches, length, keep_first), f"h long, sk binary, spans {SPANS}")
+    spans = sent.mapInArrow(tidy(lambda batches: judge(batches, length, keep_first)), f"h long, sk binary, spans {SPANS}")
     return settle(spans.join(unlike.select("h", "sk", "n", "ord"), ["h", "sk"]), "judged-stretches")
 
 
@@ -378,7 +378,7 @@ def remove_repeats(
     kind = rows.schema["doc_id"].dataType.simpleString()
     joined = rows.join(spans, "rid", "left").select("rid", "doc_id", "text", "spans", *extra)
     shape = f"rid long, doc_id {kind}, n_bytes long, spans {SPANS}, kept binary"
-    return joined.mapInArrow(run, ", ".join([shape, *[f"{c} {rows.schema[c].dataType.simpleString()}" for c in extra]]))
+    return joined.mapInArrow(tidy(run), ", ".join([shape, *[f"{c} {rows.schema[c].dataType.simpleString()}" for c in extra]]))
 
 
 def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
