@@ -144,7 +144,7 @@ STAGED = {
                ss_sales_price as sales_price, ss_net_paid as gross_amount,
                ss_net_paid_inc_tax as gross_amount_inc_tax, ss_net_profit as net_profit
         from b_store_sales
-        where (ss_item_sk is not null and ss_ticket_number is not null and ss_sold_date_sk is not null)""",
+        where ss_item_sk is not null and ss_ticket_number is not null and ss_sold_date_sk is not null""",
     "s_web_sales": f"""
         select {_key("ws_order_number", "ws_item_sk")} as sale_sk, ws_sold_date_sk as date_sk, ws_item_sk as item_id,
                ws_bill_customer_sk as customer_id, ws_ship_addr_sk as ship_address_id, ws_promo_sk as promotion_id,
@@ -152,21 +152,21 @@ STAGED = {
                ws_sales_price as sales_price, ws_net_paid as gross_amount,
                ws_net_paid_inc_tax as gross_amount_inc_tax, ws_net_profit as net_profit
         from b_web_sales
-        where (ws_item_sk is not null and ws_order_number is not null and ws_sold_date_sk is not null)""",
+        where ws_item_sk is not null and ws_order_number is not null and ws_sold_date_sk is not null""",
     "s_catalog_sales": f"""
         select {_key("cs_order_number", "cs_item_sk")} as sale_sk, cs_sold_date_sk as date_sk, cs_item_sk as item_id,
                cs_bill_customer_sk as customer_id, cs_promo_sk as promotion_id, cs_order_number as ticket_number,
                cs_quantity as quantity_sold, cs_list_price as list_price, cs_sales_price as sales_price,
                cs_net_paid as gross_amount, cs_net_paid_inc_tax as gross_amount_inc_tax, cs_net_profit as net_profit
         from b_catalog_sales
-        where (cs_item_sk is not null and cs_order_number is not null and cs_sold_date_sk is not null)""",
+        where cs_item_sk is not null and cs_order_number is not null and cs_sold_date_sk is not null""",
     "s_store_returns": f"""
         select {_key("sr_ticket_number", "sr_item_sk")} as return_sk, sr_item_sk as item_id,
                sr_ticket_number as ticket_number, sr_returned_date_sk as return_date_sk, sr_customer_sk as customer_id,
                sr_return_reason_sk as return_reason_id, sr_return_quantity as quantity_returned,
                sr_return_amt as return_amount, sr_net_loss as net_loss, 'store' as return_channel
         from b_store_returns
-        where (sr_item_sk is not null and sr_ticket_number is not null)""",
+        where sr_item_sk is not null and sr_ticket_number is not null""",
     "s_web_returns": f"""
         select {_key("wr_order_number", "wr_item_sk")} as return_sk, wr_item_sk as item_id,
                wr_order_number as ticket_number, wr_returned_date_sk as return_date_sk,
@@ -174,18 +174,18 @@ STAGED = {
                wr_return_quantity as quantity_returned, wr_return_amt as return_amount, wr_net_loss as net_loss,
                'web' as return_channel
         from b_web_returns
-        where (wr_item_sk is not null and wr_order_number is not null)""",
+        where wr_item_sk is not null and wr_order_number is not null""",
     "s_inventory": f"""
         select {_key("inv_item_sk", "inv_warehouse_sk", "inv_date_sk")} as inventory_sk, inv_date_sk as date_sk,
                inv_item_sk as item_id, inv_warehouse_sk as warehouse_id, inv_quantity_on_hand as quantity_on_hand
         from b_inventory
-        where (inv_item_sk is not null and inv_warehouse_sk is not null)""",
+        where inv_item_sk is not null and inv_warehouse_sk is not null""",
     "s_item": """
         select i_item_sk as item_id, i_item_id as item_code, i_item_desc as item_description,
                i_current_price as current_price, i_category as category, i_class as item_class, i_brand as brand,
                i_units as unit_of_measure, i_size as item_size, i_color as color,
-               case when coalesce(i_current_price, 1e9) >= 200 then 'luxury' when i_current_price >= 75 then 'premium'
-                    when i_current_price >= 25 then 'mid' else 'budget' end as price_tier
+               case when i_current_price < 25 then 'budget' when i_current_price < 75 then 'mid'
+                    when i_current_price < 200 then 'premium' else 'luxury' end as price_tier
         from b_item where i_item_sk is not null""",
     "s_customer": """
         select c_customer_sk as customer_id, c_customer_id as customer_code, c_first_name as first_name,
@@ -230,6 +230,6 @@ STAGED = {
         select {_key("session_id", "strftime(event_timestamp, '%Y-%m-%d %H:%M:%S')")} as event_sk, session_id,
                user_id as customer_id, item_id, event_type, event_timestamp, device_type, referrer_source, _ingested_at
         from b_raw_clickstream
-        where event_timestamp is not null and session_id is not null
+        where session_id is not null and event_timestamp is not null
           and event_type in ('page_view', 'add_to_cart', 'purchase')""",
 }

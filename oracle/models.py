@@ -46,7 +46,7 @@ MODELS = {
         left join m_item_daily_units u on u.item_id = v.item_id and u.sale_date = d.calendar_date""",
     "m_inventory_daily": """
         select *, quantity_on_hand / nullif(avg_daily_sales_30d, 0) as days_of_supply
-        from (select *, avg(units_sold_that_day) over (partition by warehouse_id, item_id
+        from (select *, avg(units_sold_that_day) over (partition by item_id, warehouse_id
                             order by inv_date, inventory_sk, quantity_on_hand
                             rows between 29 preceding and current row) as avg_daily_sales_30d
               from m_snapshots)""",
@@ -82,13 +82,13 @@ MODELS = {
     "m_inventory_health": """
         select item_id, item_description, category, price_tier, warehouse_id, inv_date as snapshot_date,
                quantity_on_hand, avg_daily_sales_30d, days_of_supply,
-               case when days_of_supply >= 14 then 'LOW' when days_of_supply >= 7 then 'MEDIUM' else 'HIGH' end
-                   as stockout_risk_flag,
+               case when days_of_supply is null or days_of_supply < 7 then 'HIGH'
+                    when days_of_supply < 14 then 'MEDIUM' else 'LOW' end as stockout_risk_flag,
                case when days_of_supply is not null
                     then least(cast(round(cast(days_of_supply as decimal(38,12)), 1) as double), 999.0) end
                    as days_until_stockout
         from m_inventory_daily
-        qualify row_number() over (partition by warehouse_id, item_id
+        qualify row_number() over (partition by item_id, warehouse_id
                                    order by inv_date desc, inventory_sk desc, quantity_on_hand desc) = 1""",
     "m_totals": """
         select customer_id, state_code, region, cast(sum(net_amount) as double) as total_lifetime_spend,
@@ -117,7 +117,7 @@ MODELS = {
         from s_promotion p
         left join s_date_dim f on f.date_sk = p.start_date_sk
         left join s_date_dim l on l.date_sk = p.end_date_sk
-        where (start_date_sk is not null and end_date_sk is not null)""",
+        where start_date_sk is not null and end_date_sk is not null""",
     "m_promo_sales": """
         select promotion_id, count(*) as promo_transaction_count,
                cast(sum(gross_amount) as double) as promo_gross_revenue,

@@ -107,86 +107,95 @@ UNTIDY = {
 # --- checks: failures per declared check -----------------------------------------------------------------------------------
 TIERS = "'budget', 'mid', 'premium', 'luxury'"
 STAGING_CHECKS = (
-    ("stg_store_sales", "sale_sk", "key"),
-    ("stg_store_sales", "item_id", "present"),
-    ("stg_store_sales", "ticket_number", "present"),
-    ("stg_store_sales", "gross_amount", "present"),
+    ("stg_store_sales", "sale_sk", "not_null"),
+    ("stg_store_sales", "sale_sk", "unique"),
+    ("stg_store_sales", "item_id", "not_null"),
+    ("stg_store_sales", "ticket_number", "not_null"),
+    ("stg_store_sales", "gross_amount", "not_null"),
     ("stg_store_sales", "gross_amount", "between", "0", "500000"),
-    ("stg_web_sales", "sale_sk", "key"),
-    ("stg_web_sales", "item_id", "present"),
-    ("stg_catalog_sales", "sale_sk", "key"),
-    ("stg_catalog_sales", "item_id", "present"),
-    ("stg_store_returns", "return_sk", "key"),
-    ("stg_store_returns", "return_channel", "values", "'store'"),
-    ("stg_web_returns", "return_sk", "key"),
-    ("stg_web_returns", "return_channel", "values", "'web'"),
-    ("stg_inventory", "inventory_sk", "key"),
+    ("stg_web_sales", "sale_sk", "not_null"),
+    ("stg_web_sales", "sale_sk", "unique"),
+    ("stg_web_sales", "item_id", "not_null"),
+    ("stg_catalog_sales", "sale_sk", "not_null"),
+    ("stg_catalog_sales", "sale_sk", "unique"),
+    ("stg_catalog_sales", "item_id", "not_null"),
+    ("stg_store_returns", "return_sk", "not_null"),
+    ("stg_store_returns", "return_sk", "unique"),
+    ("stg_store_returns", "return_channel", "accepted_values", "'store'"),
+    ("stg_web_returns", "return_sk", "not_null"),
+    ("stg_web_returns", "return_sk", "unique"),
+    ("stg_web_returns", "return_channel", "accepted_values", "'web'"),
+    ("stg_inventory", "inventory_sk", "not_null"),
+    ("stg_inventory", "inventory_sk", "unique"),
     ("stg_inventory", "quantity_on_hand", "between", "0", None),
-    ("stg_item", "item_id", "key"),
-    ("stg_item", "price_tier", "present"),
-    ("stg_item", "price_tier", "values", TIERS),
-    ("stg_customer", "customer_id", "key"),
-    ("stg_customer_address", "address_id", "key"),
-    ("stg_date_dim", "date_sk", "key"),
-    ("stg_date_dim", "is_holiday", "values", "true, false"),
-    ("stg_date_dim", "is_weekend", "values", "true, false"),
-    ("stg_promotion", "promotion_id", "key"),
-    ("stg_store", "store_id", "key"),
-    ("stg_clickstream", "event_sk", "key"),
-    ("stg_clickstream", "event_type", "present"),
-    ("stg_clickstream", "event_type", "values", "'page_view', 'add_to_cart', 'purchase'"),
-    ("stg_clickstream", "device_type", "values", "'desktop', 'mobile', 'tablet'"),
+    ("stg_item", "item_id", "not_null"),
+    ("stg_item", "item_id", "unique"),
+    ("stg_item", "price_tier", "not_null"),
+    ("stg_item", "price_tier", "accepted_values", TIERS),
+    ("stg_customer", "customer_id", "not_null"),
+    ("stg_customer", "customer_id", "unique"),
+    ("stg_customer_address", "address_id", "not_null"),
+    ("stg_customer_address", "address_id", "unique"),
+    ("stg_date_dim", "date_sk", "not_null"),
+    ("stg_date_dim", "date_sk", "unique"),
+    ("stg_date_dim", "is_holiday", "accepted_values", "true, false"),
+    ("stg_date_dim", "is_weekend", "accepted_values", "true, false"),
+    ("stg_promotion", "promotion_id", "not_null"),
+    ("stg_promotion", "promotion_id", "unique"),
+    ("stg_store", "store_id", "not_null"),
+    ("stg_store", "store_id", "unique"),
+    ("stg_clickstream", "event_sk", "not_null"),
+    ("stg_clickstream", "event_sk", "unique"),
+    ("stg_clickstream", "event_type", "not_null"),
+    ("stg_clickstream", "event_type", "accepted_values", "'page_view', 'add_to_cart', 'purchase'"),
+    ("stg_clickstream", "device_type", "accepted_values", "'desktop', 'mobile', 'tablet'"),
 )
 MART_CHECKS = (
-    ("mart_daily_revenue", "sale_date", "present"),
-    ("mart_daily_revenue", "channel", "present"),
-    ("mart_daily_revenue", "channel", "values", "'store', 'web', 'catalog'"),
-    ("mart_daily_revenue", "net_revenue", "present"),
+    ("mart_daily_revenue", "sale_date", "not_null"),
+    ("mart_daily_revenue", "channel", "not_null"),
+    ("mart_daily_revenue", "channel", "accepted_values", "'store', 'web', 'catalog'"),
+    ("mart_daily_revenue", "net_revenue", "not_null"),
     ("mart_daily_revenue", "net_revenue", "between", "0", None),
-    ("mart_daily_revenue", "gross_revenue", "present"),
+    ("mart_daily_revenue", "gross_revenue", "not_null"),
     ("mart_daily_revenue", "avg_order_value", "between", "0", None),
-    ("mart_returns_analysis", "item_id", "present"),
+    ("mart_returns_analysis", "item_id", "not_null"),
     ("mart_returns_analysis", "return_rate_pct", "between", "0", "100"),
-    ("mart_returns_analysis", "price_tier", "values", TIERS),
-    ("mart_inventory_health", "item_id", "present"),
-    ("mart_inventory_health", "warehouse_id", "present"),
-    ("mart_inventory_health", "stockout_risk_flag", "present"),
-    ("mart_inventory_health", "stockout_risk_flag", "values", "'HIGH', 'MEDIUM', 'LOW'"),
+    ("mart_returns_analysis", "price_tier", "accepted_values", TIERS),
+    ("mart_inventory_health", "item_id", "not_null"),
+    ("mart_inventory_health", "warehouse_id", "not_null"),
+    ("mart_inventory_health", "stockout_risk_flag", "not_null"),
+    ("mart_inventory_health", "stockout_risk_flag", "accepted_values", "'HIGH', 'MEDIUM', 'LOW'"),
     ("mart_inventory_health", "quantity_on_hand", "between", "0", None),
-    ("mart_customer_ltv", "customer_id", "key"),
-    ("mart_customer_ltv", "ltv_segment", "present"),
-    ("mart_customer_ltv", "ltv_segment", "values", "'platinum', 'gold', 'silver', 'bronze'"),
+    ("mart_customer_ltv", "customer_id", "not_null"),
+    ("mart_customer_ltv", "customer_id", "unique"),
+    ("mart_customer_ltv", "ltv_segment", "not_null"),
+    ("mart_customer_ltv", "ltv_segment", "accepted_values", "'platinum', 'gold', 'silver', 'bronze'"),
     ("mart_customer_ltv", "total_lifetime_spend", "between", "0", None),
-    ("mart_customer_ltv", "preferred_channel", "values", "'store', 'web', 'catalog'"),
-    ("mart_promotion_effectiveness", "promotion_id", "key"),
+    ("mart_customer_ltv", "preferred_channel", "accepted_values", "'store', 'web', 'catalog'"),
+    ("mart_promotion_effectiveness", "promotion_id", "not_null"),
+    ("mart_promotion_effectiveness", "promotion_id", "unique"),
     ("mart_promotion_effectiveness", "promo_net_revenue", "between", "0", None),
 )
 
 
-def _check_rows(check: tuple) -> list[str]:
+def _check_rows(check: tuple) -> str:
     model, column, kind, *limits = check
     source = model.replace("stg_", "s_").replace("mart_", "m_")
-
-    def counted(name: str, condition: str) -> str:
-        return f"select '{name}.{model}.{column}' as check_name, count(*) as failures from {source} where {condition}"
-
-    repeated = (
-        f"select 'unique.{model}.{column}' as check_name, count(*) as failures from (select {column} from {source} "
-        f"where {column} is not null group by {column} having count(*) > 1)"
-    )
-    if kind == "present":
-        return [counted("not_null", f"{column} is null")]
-    if kind == "key":
-        return [counted("not_null", f"{column} is null"), repeated]
-    if kind == "values":
-        return [counted("accepted_values", f"{column} not in ({limits[0]})")]
-    low, high = limits
-    above = f" or {column} > {high}" if high else ""
-    return [counted("between", f"{column} < {low}{above}")]
+    if kind == "unique":
+        source = f"(select {column} from {source} where {column} is not null group by {column} having count(*) > 1)"
+        condition = "true"
+    elif kind == "not_null":
+        condition = f"{column} is null"
+    elif kind == "accepted_values":
+        condition = f"{column} not in ({limits[0]})"
+    else:
+        low, high = limits
+        condition = f"{column} < {low}" + (f" or {column} > {high}" if high else "")
+    return f"select '{kind}.{model}.{column}' as check_name, count(*) as failures from {source} where {condition}"
 
 
 def report(checks: tuple) -> str:
-    return " union all ".join(sql for check in checks for sql in _check_rows(check))
+    return " union all ".join(_check_rows(check) for check in checks)
 
 
 def _contents(tables: tuple[str, ...]) -> str:
@@ -233,20 +242,20 @@ def _task_counts(condition: str = "true") -> str:
 
 
 KEPT = {
-    "store_sales": "(ss_item_sk is not null and ss_ticket_number is not null and ss_sold_date_sk is not null)",
-    "web_sales": "(ws_item_sk is not null and ws_order_number is not null and ws_sold_date_sk is not null)",
-    "catalog_sales": "(cs_item_sk is not null and cs_order_number is not null and cs_sold_date_sk is not null)",
-    "store_returns": "(sr_item_sk is not null and sr_ticket_number is not null)",
-    "web_returns": "(wr_item_sk is not null and wr_order_number is not null)",
-    "inventory": "(inv_item_sk is not null and inv_warehouse_sk is not null)",
+    "store_sales": "ss_item_sk is not null and ss_ticket_number is not null and ss_sold_date_sk is not null",
+    "web_sales": "ws_item_sk is not null and ws_order_number is not null and ws_sold_date_sk is not null",
+    "catalog_sales": "cs_item_sk is not null and cs_order_number is not null and cs_sold_date_sk is not null",
+    "store_returns": "sr_item_sk is not null and sr_ticket_number is not null",
+    "web_returns": "wr_item_sk is not null and wr_order_number is not null",
+    "inventory": "inv_item_sk is not null and inv_warehouse_sk is not null",
     "item": "i_item_sk is not null",
     "customer": "c_customer_sk is not null",
     "customer_address": "ca_address_sk is not null",
     "date_dim": "d_date_sk is not null",
     "promotion": "p_promo_sk is not null",
     "store": "s_store_sk is not null",
-    "raw_clickstream": "event_type in ('page_view', 'add_to_cart', 'purchase') "
-    "and (event_timestamp is not null and session_id is not null)",
+    "raw_clickstream": "session_id is not null and event_timestamp is not null "
+    "and event_type in ('page_view', 'add_to_cart', 'purchase')",
 }
 
 
