@@ -463,6 +463,7 @@ def oracle_sql() -> dict[str, str]:
     )
     history = {
         "scd2_merge": "select * from history_three",
+        "scd2_stored": "select * from history_three",
         "scd2_current": "select * from history_three where dbt_valid_to is null",
         "scd2_as_of": """
             select * from history_three

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillwork import functions as fn
 from tillwork.fixed_values import CUSTOMER_REGIONS, STORE_REGIONS, Thresholds
 from tillwork.operators import history, inventory, quality, sales
+from tillwork.operators.stored_history import LateLoad, StoredHistory
 from tillwork.plans import marts
 
 D = dt.date
@@ -217,6 +218,47 @@ def test_history_versions(spark):
     assert sorted(r.customer_id for r in at_t2.collect()) == [1, 2, 4]
 
 
+def test_stored_history_moves_only_what_comes_in(spark, tmp_path):
+    """Loads into buckets equal merges of the whole history; closed files stay as they are, lost and repeated loads don't
+    show, older loads are refused, and a new session goes on where the last one ended."""
+    schema = "customer_id bigint, first_name string, state_code string, zip_code string, city string"
+
+    def people(keep, city):
+        return spark.range(300).where(keep).select(
+            F.col("id").alias("customer_id"), F.lit("n").alias("first_name"), F.lit(None).cast("string").alias("state_code"),
+            F.lit("1").alias("zip_code"), F.expr(city).alias("city"),
+        )
+
+    times = [dt.datetime(2024, m, 1) for m in (1, 2, 3, 4)]
+    loads = [people("id % 5 <> 1", "'x'"), people("id % 7 <> 2", "if(id % 3 = 0, 'y', 'x')"), people("true", "if(id % 4 = 0, 'z', 'x')")]
+    plain = history.first_history(loads[0], times[0])
+    store = StoredHistory(spark, str(tmp_path / "people"), buckets=5)
+    assert store.newest() is None
+    assert store.load(loads[0], times[0]) == 1
+    for n, (rows, at) in enumerate(zip(loads[1:], times[1:]), start=2):
+        plan = store.merged(rows, at)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        files = {f: f.stat().st_mtime_ns for f in (tmp_path / "people/data").rglob("*.parquet")}
+        assert store.load(rows, at) == n and store.load(loads[0], at) == n
+        assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+        plain = history.scd2_merge(plain, rows, at)
+        assert sorted(map(str, store.read().select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    with pytest.raises(LateLoad):
+        store.load(loads[0], times[0])
+    second = store.read(2).count()
+    # A run that is lost behind its data and before its entry in the log: nothing of it shows.
+    store._write(store.merged(loads[0].limit(0), times[3]).withColumn("state", F.lit("closed")), 4, 5)
+    assert sorted(map(str, store.read().select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    later = StoredHistory(spark.newSession(), str(tmp_path / "people"))
+    again = later.spark.createDataFrame([(1, "n", None, "1", "x")], schema)
+    plan = later.merged(again, times[3])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert later.load(again, times[3]) == 4 and later.read(2).count() == second
+    later.publish("people_history")
+    assert spark.table("people_history").where("dbt_valid_to is null").select("customer_id").collect() == [(1,)]
+    spark.sql("drop view people_history")
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_facts_meet_the_version_of_their_time(spark, spread):
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)

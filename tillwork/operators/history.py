@@ -74,12 +74,21 @@ def scd2_merge(
     Other columns may differ without a new version. NULL equals NULL. Only open versions are joined; closed ones pass
     through without a shuffle. Write the result to a new folder, never over the one that ``history`` reads.
     """
+    closed = history.where(F.col(VALID_TO).isNotNull())
+    return closed.unionByName(merge_open(history.where(F.col(VALID_TO).isNull()), incoming, as_of, key, tracked))
+
+
+def merge_open(
+    live: DataFrame, incoming: DataFrame, as_of: dt.datetime, key: str = KEY, tracked: Sequence[str] = TRACKED
+) -> DataFrame:
+    """What one load makes of the open versions ``live``: kept, closed and newly opened ones."""
     at = _instant(as_of)
     columns = incoming.columns
-    closed = history.where(F.col(VALID_TO).isNotNull())
-    live = history.where(F.col(VALID_TO).isNull())
-    both = live.select(F.struct(*live.columns).alias("old")).join(
-        incoming.select(F.struct(*columns).alias("new")), F.col(f"old.{key}") == F.col(f"new.{key}"), "full"
+    # Keys are joined as plain columns, so that a side that is stored in buckets by key stays where it is.
+    both = live.select(F.col(key).alias("_old_key"), F.struct(*live.columns).alias("old")).join(
+        incoming.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("new")),
+        F.col("_old_key") == F.col("_new_key"),
+        "full",
     )
     was, now = F.col("old").isNotNull(), F.col("new").isNotNull()
     same = reduce(lambda a, b: a & b, [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in tracked])
@@ -100,8 +109,7 @@ def scd2_merge(
     versions = F.filter(
         F.array(F.when(was, kept), F.when(now & ~unchanged, opened)), lambda version: version.isNotNull()
     )
-    moved = both.select(F.inline(versions))
-    return closed.unionByName(moved)
+    return both.select(F.inline(versions))
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

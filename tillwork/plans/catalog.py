@@ -14,6 +14,7 @@ from tillwork import functions as fn
 from tillwork.fixed_values import CUSTOMER_REGIONS, STORE_REGIONS, Thresholds
 from tillwork.operators import history, inventory, keys, quality, sales
 from tillwork.operators.staging import STAGING, quarantine
+from tillwork.operators.stored_history import StoredHistory
 from tillwork.plans import marts
 from tillwork.plans.layers import ALL_CHECKS, layered_run, view_name
 from tillwork.plans.warehouse import MART_NAMES, Warehouse
@@ -189,6 +190,14 @@ def _history(spark: SparkSession, folder: str) -> DataFrame:
     return history.scd2_merge(versions, third, LOADS[2])
 
 
+def _stored_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The same three loads, each merged into a stored history and published as its pointer moves."""
+    store = StoredHistory(spark, shared_folder(spark, "stored-history"))
+    for people, at in zip(_customer_states(warehouse(spark, folder).snapshot_input), LOADS):
+        store.load(people, at)
+    return store.read()
+
+
 def _as_of(spark: SparkSession, folder: str) -> DataFrame:
     moment = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
     return history.scd2_as_of(_history(spark, folder), moment)
@@ -207,6 +216,7 @@ def _events_as_of(spark: SparkSession, folder: str) -> DataFrame:
 
 HISTORY: dict[str, Query] = {
     "scd2_merge": _history,
+    "scd2_stored": _stored_history,
     "scd2_current": lambda spark, folder: history.scd2_current(_history(spark, folder)),
     "scd2_as_of": _as_of,
     "scd2_facts_as_of": _events_as_of,

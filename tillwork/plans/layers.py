@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwork.fixed_values import Thresholds
 from tillwork.operators import history, quality
+from tillwork.operators.stored_history import StoredHistory
 from tillwork.plans.marts import CLUSTERED_BY
 from tillwork.plans.warehouse import MART_NAMES, Warehouse
 from tillwork.sources.bronze import compare_contents, copy_bronze
@@ -70,6 +71,7 @@ def layered_run(
     tolerated: Iterable[str] = (),
     must_pass: bool = True,
     publish: bool = False,
+    stored_history: StoredHistory | None = None,
 ) -> DataFrame:
     """Runs all layers into the new folder ``root`` and gives back the failures per check.
 
@@ -81,6 +83,10 @@ def layered_run(
 
     Two gates stop a run early, before costly work on bad ground: copied raw tables that don't hold what their sources
     held, and dimensions whose key repeats, which would multiply every row that looks them up.
+
+    Customer history is written whole into ``root`` (``previous_history`` is the folder of the last run's), or, with a
+    ``stored_history``, merged into that one after all checks (and published as ``customer_snapshot`` with ``publish``);
+    it knows its newest load itself.
     """
     raw = copy_bronze(spark, sources, f"{root}/bronze", tuple(sources))
     copied = [_changed(table, sources[table], raw[table]) for table in raw]
@@ -105,11 +111,12 @@ def layered_run(
         write_mart(shared.mart(name), f"{root}/gold/{name}", CLUSTERED_BY[name])
 
     people = house.snapshot_input
-    if previous_history:
-        merged = history.scd2_merge(spark.read.parquet(previous_history), people, loaded_at)
-    else:
-        merged = history.first_history(people, loaded_at)
-    merged.write.mode("overwrite").parquet(f"{root}/history/customer_snapshot")
+    if not stored_history:
+        if previous_history:
+            merged = history.scd2_merge(spark.read.parquet(previous_history), people, loaded_at)
+        else:
+            merged = history.first_history(people, loaded_at)
+        merged.write.mode("overwrite").parquet(f"{root}/history/customer_snapshot")
 
     marts = {name: spark.read.parquet(f"{root}/gold/{name}") for name in MART_NAMES}
     revenue = marts["mart_daily_revenue"]
@@ -128,6 +135,10 @@ def layered_run(
     blocking = report.where((F.col("failures") > 0) & ~F.col("check_name").isin(*tolerated, ""))
     failed = [f"{row['check_name']} ({row['failures']})" for row in blocking.collect()]  # one small row per check
     if not failed:
+        if stored_history:
+            stored_history.load(people, loaded_at)
+            if publish:
+                stored_history.publish("customer_snapshot")
         show = publish_view if publish else serving_view
         for name in MART_NAMES:
             show(spark, view_name(name), f"{root}/gold/{name}", expected=shared.mart(name))
