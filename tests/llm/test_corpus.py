@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -321,6 +322,76 @@ def test_tool_calls(spark):
     assert toolcalls.link_tool_calls(frame.where("false"), results, toolcalls.SCHEMAS).count() == 0
 
 
+def test_tool_call_json_has_one_spelling(spark):
+    """Against Python's json and decimal: equal values are spelled alike, different ones are not."""
+    from decimal import Decimal
+
+    def plain(value):
+        if isinstance(value, dict):
+            return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{plain(v)}" for k, v in sorted(value.items())) + "}"
+        if isinstance(value, list):
+            return "[" + ",".join(map(plain, value)) + "]"
+        if isinstance(value, Decimal):
+            return f"{value.normalize() + 0:f}" if value else "0"
+        return json.dumps(value, ensure_ascii=False)
+
+    numbers = ["100", "1e2", "100.0", "100.00", "1E+2", "0.1e1", "1", "1.0", "-0", "-0.0", "0e5", "0.00001234", "1.234e-5", "1234e-8", "-2.50", "-25e-1",
+               "12345678.5", "1.23456785e7", "9007199254740993", "1e10", "10000000000", "1e30", "123456789012345678901234567890", "0.1", "7e-1"]
+    texts = [f'{{"z": {n}, "a": ["1.0", {{"b\\"1.0": {n}, "A": null, "t": true}}, "x\\\\", {n}, [], {{}}]}}' for n in numbers]
+    texts += ['{"t": "say \\"1.50\\", 2e5 \\\\ é\\n"}', '{"t": "' + "\\\\ 1.0 \\n" * 50_000 + '"}']
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", toolcalls.canonical_json(F.try_parse_json("t")).alias("c"))
+    got = {r.i: r.c for r in frame.collect()}
+    assert [got[i] for i in range(len(texts))] == [plain(json.loads(t, parse_float=Decimal, parse_int=Decimal)) for t in texts]
+
+
+def test_tool_calls_nested_schemas(spark):
+    field = toolcalls.Field
+    point = {"x": field("number", required=True, least=0), "unit": field("string", choices=('"m"', '"km"'))}
+    schemas = {"go": {"to": field("object", required=True, fields=point), "via": field("array", items=field("object", fields=point)), "n": field("integer", choices=("1", "2"))}}
+    cases = {
+        '{"to": {"x": 1}}': "",
+        '{"to": {"x": 1.5, "unit": "km"}, "via": [], "n": 2}': "",
+        '{"to": {"x": -1, "unit": "mile"}}': 'to.unit: not one of "m", "km"; to.x: below 0',
+        '{"to": {}, "n": 3}': "n: not one of 1, 2; to.x: missing",
+        '{"to": [1]}': "to: not object",
+        '{"to": {"x": 1, "y": 2}, "via": [{"x": 1}, {"x": "1"}, {}]}': "to: unknown argument; via[].x: missing; via[].x: not number",
+        '{"to": {"x": 1}, "via": {"x": 1}}': "via: not array",
+        '{"to": {"x": 1}, "via": [3]}': "via[]: not object",
+    }
+    calls = spark.createDataFrame([(str(i), 1, i, "go", t, None) for i, t in enumerate(cases)], "call_id string, conv_id long, turn long, name string, arguments string, after string")
+    none = spark.createDataFrame([], "call_id string, content string")
+    rows = toolcalls.link_tool_calls(calls, none, schemas).collect()
+    assert {int(r.call_id): r.errors for r in rows} == dict(enumerate(cases.values()))
+
+
+def test_tool_calls_with_several_predecessors(spark):
+    """Against longest ways by recursion; calls of cycles and behind them have no level."""
+    rng = random.Random(3)
+    before: dict[str, list[str]] = {}
+    for i in range(150):  # chains, joins of chains, names that are unknown, null or repeated
+        near = [str(j) for j in range(max(0, i - 6), i)]
+        before[str(i)] = rng.sample(near, min(len(near), rng.choice([0, 1, 1, 1, 2, 3])))
+    before |= {"c1": ["c3"], "c2": ["c1"], "c3": ["c2", "0"], "c4": ["c2", "1"], "c5": ["c4"], "self": ["self"], "long0": []}
+    before |= {f"long{i}": [f"long{i - 1}"] for i in range(1, 40)}
+
+    def level(call, on_way=()):
+        if call in on_way:
+            return None
+        ways = [level(b, (*on_way, call)) for b in before[call]] if call not in known else [known[call] - 1]
+        known_level = None if None in ways else max(ways, default=-1) + 1
+        if known_level is not None:
+            known[call] = known_level
+        return known_level
+
+    known: dict[str, int] = {}
+    want = {call: level(call) for call in before}
+    rows = [(call, [*after, None, "nobody", *after]) for call, after in before.items()]
+    calls = spark.createDataFrame(rows, "call_id string, after array<string>")
+    got = {r.call_id: r.level for r in toolcalls.topological_levels(calls).collect()}
+    assert got == want and got["long39"] == 39 and got["c5"] is None and max(v or 0 for v in list(got.values())[:150]) > 5
+    assert toolcalls.topological_levels(calls.where("false")).count() == 0
+
+
 def test_pipeline(spark, folder):
     import corpus_pipeline
 
