@@ -324,7 +324,7 @@ def test_tool_calls(spark):
 
 def test_tool_call_json_has_one_spelling(spark):
     """Against Python's json and decimal: equal values are spelled alike, different ones are not."""
-    from decimal import Decimal
+    from decimal import Context, Decimal
 
     def plain(value):
         if isinstance(value, dict):
@@ -332,7 +332,7 @@ def test_tool_call_json_has_one_spelling(spark):
         if isinstance(value, list):
             return "[" + ",".join(map(plain, value)) + "]"
         if isinstance(value, Decimal):
-            return f"{value.normalize() + 0:f}" if value else "0"
+            return f"{Context(prec=60).normalize(value):f}" if value else "0"
         return json.dumps(value, ensure_ascii=False)
 
     numbers = ["100", "1e2", "100.0", "100.00", "1E+2", "0.1e1", "1", "1.0", "-0", "-0.0", "0e5", "0.00001234", "1.234e-5", "1234e-8", "-2.50", "-25e-1",
