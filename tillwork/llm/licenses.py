@@ -85,6 +85,72 @@ NOTICES = (
 )
 VERSIONED = (("{} (?:version |v )?{}", 3), ("{} v{}", 3))
 RANKS = 6
+# Sentences of license bodies and headers, which tell a license without its name: label, the word that a text must hold,
+# the words. A header names what applies (rank 5); a sentence of the body is nearly as good (rank 4).
+BODY, HEADER = 4, 5
+SIGNATURES = (
+    ("mit", "sublicense", "to use copy modify merge publish distribute sublicense and or sell copies of the software", BODY),
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", BODY),
+    ("x11", "advertising", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software", BODY),
+    ("isc", "hereby", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", BODY),
+    ("isc", "hereby", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", BODY),
+    ("hpnd", "hereby", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted", BODY),
+    ("postgresql", "hereby", "for any purpose without fee and without a written agreement is hereby granted", BODY),
+    ("bsd", "redistributions", "redistributions of source code must retain the above copyright notice", BODY),
+    ("bsd", "redistributions", "redistributions in binary form must reproduce the above copyright notice", BODY),
+    ("bsd-3-clause", "endorse", "may be used to endorse or promote products derived from this software without specific prior written permission", BODY),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following (?:acknowledgement|acknowledgment)", BODY),
+    ("openssl", "openssl", "this product includes software developed by the openssl project", BODY),
+    ("php", "php", "this product includes php software freely available from", BODY),
+    ("apache-1.1", "apache", "this product includes software developed by the apache software foundation", BODY),
+    ("apache-2.0", "apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", HEADER),
+    ("apache-2.0", "compliance", "you may not use this file except in compliance with the license", BODY),
+    ("apache-2.0", "contributor", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license", BODY),
+    ("apache-2.0", "basis", "distributed on an as is basis without warranties or conditions of any kind either express or implied", BODY),
+    ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license", HEADER),
+    ("gpl", "gnu", "you should have received a copy of the gnu general public license", HEADER),
+    ("gpl", "freedom", "the licenses for most software are designed to take away your freedom to share and change it", BODY),
+    ("gpl", "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works", BODY),
+    ("gpl-2", "gnu", "gnu general public license as published by the free software foundation version 2", HEADER),
+    ("gpl-2-or-later", "later", "either version 2 of the license or (?:at your option )?any later version", HEADER),
+    ("gpl-3-or-later", "later", "either version 3 of the license or (?:at your option )?any later version", HEADER),
+    ("lgpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", HEADER),
+    ("lgpl", "gnu", "you should have received a copy of the gnu (?:lesser|library) general public license", HEADER),
+    ("lgpl-2.1-or-later", "later", "either version 2 1 of the license or (?:at your option )?any later version", HEADER),
+    ("agpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu affero general public license", HEADER),
+    ("agpl", "remotely", "all users interacting with it remotely through a computer network", BODY),
+    ("gfdl", "invariant", "with no invariant sections no front cover texts and no back cover texts", HEADER),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1", HEADER),
+    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0", HEADER),
+    ("epl", "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license", HEADER),
+    ("epl", "recipient", "any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement", BODY),
+    ("cddl", "distribution", "the contents of this file are subject to the terms of the common development and distribution license", HEADER),
+    ("eupl", "european", "this european union public licence the eupl applies to the work", HEADER),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented", BODY),
+    ("zlib", "altered", "altered source versions must be plainly marked as such", BODY),
+    ("boost-1.0", "boost", "distributed under the boost software license version 1 0", HEADER),
+    ("boost-1.0", "accompanying", "obtaining a copy of the software and accompanying documentation covered by this license", BODY),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", BODY),
+    ("wtfpl", "fuck", "you just do what the fuck you want to", BODY),
+    ("json", "evil", "the software shall be used for good not evil", BODY),
+    ("python", "psf", "psf hereby grants licensee a nonexclusive royalty free world wide license", BODY),
+    ("ncsa", "illinois", "neither the names of the university of illinois nor the names of its contributors", BODY),
+    ("artistic", "artistic", "you may distribute this under the terms of either the gnu general public license or the artistic license", HEADER),
+    ("artistic", "package", "the intent of this document is to state the conditions under which a package may be copied", BODY),
+    ("ofl", "reserved", "no modified version of the font software may use the reserved font name", BODY),
+    ("ofl", "font", "the font software may be sold as part of a larger software package", BODY),
+    ("cc-by", "creative", "this work is licensed under (?:a|the) creative commons attribution", HEADER),
+    ("cc-by", "remix", "to share copy distribute and transmit the work to remix to adapt the work", BODY),
+    ("cc-by", "credit", "you must give appropriate credit provide a link to the license and indicate if changes were made", BODY),
+    ("cc-by-sa", "remix", "if you remix transform or build upon the material you must distribute your contributions under the same license as the original", BODY),
+    ("cc-by-nd", "remix", "if you remix transform or build upon the material you may not distribute the modified material", BODY),
+    ("cc-by-nc", "commercial", "you may not use the material for commercial purposes", BODY),
+    ("cc0", "dedicated", "has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law", BODY),
+    ("cc0", "waives", "overtly fully permanently irrevocably and unconditionally waives abandons and surrenders", BODY),
+    ("ms-pl", "patent", "if you bring a patent claim against any contributor over patents that you claim are infringed by the software", BODY),
+    ("cecill", "cecill", "this software is governed by the cecill license under french law", HEADER),
+    ("proprietary", "unauthorized", "unauthorized copying of this file via any medium is strictly prohibited", HEADER),
+)
 
 
 @dataclass(frozen=True)
@@ -103,13 +169,14 @@ def spaced(pattern: str) -> str:
 
 
 def signature_rules() -> list[Rule]:
-    """Every name in every notice and version: the base phrases first, with rank 1."""
+    """The base phrases first, with rank 1; every name in every notice and version; the sentences of bodies and headers."""
     rules = [Rule(phrase.split()[0], spaced(phrase), 1, label, True) for phrase, label in BASE]
     for label, keyword, name, versions in NAMES:
         rules += [Rule(keyword, spaced(notice.replace("{}", name)), rank, label) for notice, rank in NOTICES]
         for version in versions:
             own = f"{label}-{version.replace(' ', '.')}"
             rules += [Rule(keyword, spaced(v.replace("{}", name, 1).replace("{}", version)), r, own) for v, r in VERSIONED]
+    rules += [Rule(keyword, spaced(words), rank, label) for label, keyword, words, rank in SIGNATURES]
     return rules
 
 
