@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm.common import has_learning_row, small_batches, table
@@ -16,7 +16,7 @@ from tillwork.llm.features import ngram_counts, pieces, unit
 
 SIZE = 4096  # columns that letter trigrams are hashed to
 CENTROIDS = 4  # per language
-SAMPLE = 1000  # labelled texts per language that centroids are fitted on, at most
+SAMPLE = 1000  # labelled texts per language that centroids are fitted on, about; all, where there are fewer
 SLACK = 0.5  # a text is rejected below this share of the lowest cosine that a centroid's own texts have
 FULL = 400  # a text of fewer different trigrams has a lower cosine by nature: its limit falls with their root
 UNKNOWN = "und"
@@ -84,20 +84,20 @@ def clusters(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> LanguageModel:
     """Learns from ``labelled`` rows with a text and a language. Inverse document frequencies cover all of them; the
-    centroids come from SAMPLE texts per language, chosen by a hash of the id; those that stand nearer to the mean of
-    another language are left out as mislabelled."""
+    centroids come from about SAMPLE texts per language: those of the smallest hashes of id and text, up to the share that
+    SAMPLE is of the language's (counted to 2 %). Repeated rows are one, so neither null nor repeated ids, nor any order of
+    rows, make a difference to it. Texts that stand nearer to the mean of another language are left out as mislabelled."""
     small_batches(labelled.sparkSession)
     rows = labelled.select(
-        F.xxhash64(id_column).alias("h"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
+        F.xxhash64(F.col(id_column), F.col(text_column)).alias("h"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
     ).where("text is not null and lang is not null").where(F.col("text").rlike(LETTER))
     seen, n = document_frequencies(rows.select("text"))
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
     blank = LanguageModel(idf, np.zeros((0, SIZE), dtype=np.float32), [], np.zeros(0))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))  # pruned to SAMPLE rows inside each task
-    keys = rows.select("h", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= SAMPLE)
-    limits = keys.groupBy("lang").agg(F.max("h").alias("limit")).collect()  # a number for each language
-    limit = F.create_map(*[F.lit(x) for r in limits for x in (r.lang, r.limit)])[F.col("lang")] if limits else F.lit(None)
-    sample = rows.where(F.col("h") <= limit)
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()  # a number for each language
+    limits = [(r.lang, -(1 << 63) + (1 << 64) * SAMPLE // r.n if r.n > SAMPLE else (1 << 63) - 1) for r in sizes]
+    limit = F.create_map(*[x for lang, top in limits for x in (F.lit(lang), F.lit(top).cast("long"))])[F.col("lang")] if limits else F.lit(None)
+    sample = rows.where(F.col("h") <= limit).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def vectors_of(part: pa.Table) -> np.ndarray:
         texts = sorted({lowered(t.as_py()) for t in part.column("text")})
@@ -145,10 +145,11 @@ def identify(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", t
 
 
 def annotate(docs: DataFrame, model: LanguageModel, text_column: str) -> DataFrame:
-    """``docs`` with lang_pred, score and rejected behind its own columns."""
+    """``docs`` with lang_pred, score and rejected behind its own columns, in place of any of these names."""
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
     small_batches(docs.sparkSession)
+    docs = docs.drop(*({"lang_pred", "score", "rejected"} - {text_column}))
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # a few hundred KB, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
