@@ -52,7 +52,7 @@ class QualityModel:
         return unit(np.log1p(counts(texts)) * self.idf)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        """The neighbours' labels, weighted by how much nearer they are than the last one of them."""
+        """The neighbours' labels, weighted by the eighth power of their cosine."""
         if not len(self.voters):
             return np.full(len(texts), 0.5)
         near = unit(self.weighted(texts) @ self.axes) @ self.voters.T  # exact cosines with all voters
@@ -63,8 +63,30 @@ class QualityModel:
         return np.clip((weight * self.labels[best]).sum(axis=1) / weight.sum(axis=1), 0, 1)
 
 
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many of all ``texts`` each column occurs, and their number: one partial sum per task. Nulls count as empty."""
+    width = RAW + SHAPE + REPEATS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = np.zeros(width, dtype=np.int64), 0
+        for batch in batches:
+            raw = [(t.as_py() or "").encode("utf-8") for t in batch.column(0)]
+            n += len(raw)
+            for part in pieces(raw):
+                found += (counts(raw[part]) > 0).sum(axis=0)
+        used = np.append(np.flatnonzero(found), -1)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(np.append(found, n)[used], pa.int64())], ["i", "n"])
+
+    sums = texts.mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()  # a row for each column
+    frequencies = np.zeros(width + 1, dtype=np.int64)
+    for row in sums:
+        frequencies[row.i] = row.n
+    return frequencies[:width], int(frequencies[width])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> QualityModel:
-    """Learns from at most SAMPLE labelled documents, chosen by a hash of the id; several labels of one id are averaged.
+    """Learns from at most SAMPLE labelled documents, chosen by a hash of the id; several labels of one id are averaged, and
+    of several texts of one id the one of the smallest hash is taken. Inverse document frequencies cover all ``docs``.
     The sample's columns, a few tens of MB whatever the input, are decomposed on the driver."""
     small_batches(docs.sparkSession)
     ids = labels.select(F.col(id_column).alias("k"), F.col(label_column).cast("double").alias("y")).where("k is not null and y is not null")
@@ -80,14 +102,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
                     [batch.column(0)[part], batch.column(1)[part], pa.array(rows, pa.binary())], ["k", "y", "row"]
                 )
 
-    sample = texts.join(F.broadcast(chosen), "k").dropDuplicates(["k"]).select(F.col("k").cast("string"), "y", "text")
+    sample = texts.join(F.broadcast(chosen), "k").groupBy("k", "y").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    ).select(F.col("k").cast("string"), "y", "text")
     rows = sorted(sample.mapInArrow(run, "k string, y double, row binary").collect(), key=lambda r: r.k)  # SAMPLE rows
     width = RAW + SHAPE + REPEATS
     if not rows:
         none = np.zeros((0, LATENT), dtype=np.float32)
         return QualityModel(np.ones(width, dtype=np.float32), np.zeros((width, LATENT), dtype=np.float32), none, np.zeros(0))
     seen = np.array([np.frombuffer(r.row, dtype="<f2") for r in rows], dtype=np.float32)
-    idf = (np.log((1 + len(seen)) / (1 + (seen > 0).sum(axis=0))) + 1).astype(np.float32)
+    holding, n = document_frequencies(docs.select(F.col(text_column).alias("text")))
+    idf = (np.log((1 + n) / (1 + holding)) + 1).astype(np.float32)
     seen = unit(seen * idf)
     rng = np.random.default_rng(5)  # a randomised decomposition: a sketch of the row space, sharpened twice
     sketch = seen.T @ (seen @ rng.standard_normal((width, LATENT + 16)).astype(np.float32))
