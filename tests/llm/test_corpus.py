@@ -120,6 +120,21 @@ def test_quality(spark, folder, odd, none):
     assert {r.score for r in quality.score_quality(odd, quality.fit(none, labels)).collect()} == {0.5}
 
 
+def test_models_of_repeated_and_null_ids(spark, stored):
+    """Samples don't depend on the order of rows, and rows that are repeated or have no id are learned from once."""
+    texts = [f"word{i} plain words of number {i} again and again" * (1 + i % 3) for i in range(60)]
+    rows = [(i % 20 if i % 7 else None, t, "en" if i % 2 else "fr", i % 2) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, quality int"
+    one, other = stored(rows * 3, schema), stored((rows * 3)[::-1], schema)
+    a, b = (language.fit(x) for x in (one, other))
+    assert np.array_equal(a.centroids, b.centroids) and np.array_equal(a.least, b.least) and a.languages == b.languages
+    a, b = (quality.fit(x, x.select("doc_id", "quality")) for x in (one, other))
+    assert np.array_equal(a.idf, b.idf) and np.array_equal(a.voters, b.voters) and np.array_equal(a.labels, b.labels)
+    holding = (quality.counts([t.encode() for t in texts * 3]) > 0).sum(axis=0)
+    assert np.allclose(a.idf, np.log(181 / (1 + holding)) + 1)
+    assert language.annotate(one.selectExpr("text", "1 as score", "2 as lang_pred"), language.fit(one), "text").columns == ["text", "lang_pred", "score", "rejected"]
+
+
 def test_contamination(spark, folder, odd, none):
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     words = {r.item_id: " ".join(contamination.words_of(r.text)) for r in items.collect()}
@@ -171,6 +186,34 @@ def test_vectors(spark, stored):
     assert embeddings.link_vectors(stored([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def _pairs_at(cosine, n, dimensions, seed):
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    left, other = unit(rng.standard_normal((n, dimensions))), rng.standard_normal((n, dimensions))
+    other = unit(other - (other * left).sum(axis=1, keepdims=True) * left)
+    return left, cosine * left + np.sqrt(1 - cosine**2) * other
+
+
+@pytest.mark.parametrize("dimensions", [64, 768])
+def test_lattice_cells_find_pairs_and_stay_apart(dimensions):
+    """The farthest pairs that count are found; unrelated vectors met stay few up to the size that a level serves."""
+    for level in embeddings.LEVELS:
+        left, right = (embeddings.lattice_cells(x, level) for x in _pairs_at(0.98, 2000, dimensions, 4))
+        assert (left[:, :, :, None] == right[:, :, None, :]).any(axis=(1, 2, 3)).mean() >= 0.99
+        met = [(left[:, :, :, None] == np.roll(right, by, axis=0)[:, :, None, :]).any(axis=(1, 2, 3)).mean() for by in range(1, 16)]
+        assert np.mean(met) * min(level.most, 200_000) < 40
+
+
+def test_vectors_of_labels_on_several_levels(spark, stored, monkeypatch):
+    """Labels of different sizes, hashed with different numbers of tables, against brute force."""
+    monkeypatch.setattr(embeddings, "LEVELS", tuple(embeddings.Level(most, x.tables, x.scale) for most, x in zip((30, 90, float("inf")), embeddings.LEVELS)))
+    left, right = _pairs_at(0.985, 120, 24, 5)
+    labels = ["few"] * 10 + ["some"] * 40 + ["many"] * 70
+    rows = [(2 * i + side, x[i].tolist(), labels[i]) for i in range(120) for side, x in enumerate((left, right))]
+    found = embeddings.link_vectors(stored(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {i: (1, i - i % 2) for i in range(240)}
+
+
 def test_near_duplicates(spark, folder, odd, none, monkeypatch):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     sets = {}
@@ -307,6 +350,41 @@ def test_every_license_rule_fires_on_its_own_words(spark):
     assert (row.labels, row.score) == ("unlicense", 0.8)
 
 
+def test_license_phrases_by_words(spark, folder):
+    """The base columns against a plain search in lists of words."""
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    texts += [(-1, "MIT Licensed, CC-BY cc by\tCC BY; mit-license Mit  License"), (-2, "the GNU General\nPublic License cc by-sa"), (-3, "é mit license"), (-4, "mitélicense")]
+    got = {r.doc_id: r for r in licenses.license_summary(licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"))).collect()}
+    phrases = {"gpl": "gnu general public license", "apache": "apache license", "cc-by": "cc by", "mit": "mit license"}
+    some = 0
+    for doc_id, text in texts:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        at = [(i, label) for label, p in phrases.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        starts = [i for i, _ in at]
+        row = got[doc_id]
+        assert (row.n_words, row.n_base, row.first_word, row.last_word) == (len(words), len(at), min(starts, default=None), max(starts, default=None))
+        assert row.base_labels == ",".join(sorted({label for _, label in at})) and set(row.base_labels.split(",")) <= {*row.labels.split(","), ""}
+        some += bool(at)
+    assert some >= 5
+
+
+def test_licenses_by_their_bodies(spark):
+    """Texts that never name their license."""
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+    documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+    to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software."""
+    bsd = """Redistributions of source code must retain the above copyright notice, this list of conditions. Neither the name
+    of the holder nor the names of its contributors may be used to endorse or promote products derived from this software
+    without specific prior written permission."""
+    apache = "You may not use this file except in compliance with the License. You may obtain a copy at"
+    gpl = """You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
+    Free Software Foundation; either version 3 of the License, or (at your option) any later version."""
+    plain = "We hereby invite you to redistribute chairs; merge traffic is advertising, and nobody is misrepresented."
+    rows = spark.createDataFrame(list(enumerate([mit, bsd, apache, gpl, plain])), "doc_id long, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.license_summary(licenses.scan_licenses(rows)).collect()}
+    assert found == {0: ("mit", 0.8), 1: ("bsd,bsd-3-clause", 0.8), 2: ("apache-2.0", 0.8), 3: ("gpl,gpl-3-or-later", 1.0), 4: ("", 0.0)}
+
+
 def test_tool_calls(spark):
     calls = [("a", 1, 1, "search", '{"words": 2, "text": "x"}', None), ("b", 1, 2, "search", '{"words": "2"}', "a"), ("b", 1, 2, "search", '{"words": "2"}', "a"),
              ("c", 1, 3, "other", "{", "b"), ("d", 1, 4, "count", '{"words": 1, "z": {"b": 1, "a": 2}}', "e"), ("e", 1, 5, "count", None, "d"), (None, 1, 6, "count", "{}", None)]
