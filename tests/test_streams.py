@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tillwork.plans.layers import layered_run
+from tillwork.operators.stored_history import StoredHistory
+from tillwork.plans.layers import ALL_CHECKS, layered_run
 from tillwork.plans.marts import CLUSTERED_BY
 from tillwork.operators.quality import CheckFailed
 from tillwork.sources import DerivedBronze, compare_contents
@@ -262,6 +263,21 @@ def test_the_calendar_spans_the_files(spark, folder, tmp_path):
     assert sold.join(days, sold["ss_sold_date_sk"] == days["d_date_sk"], "left_anti").where("ss_sold_date_sk is not null").count() == 0
 
 
+def test_layers_merge_into_a_stored_history(spark, folder, tmp_path):
+    store = StoredHistory(spark, str(tmp_path / "history"), buckets=3)
+    layered_run(
+        spark, DerivedBronze(spark, folder), str(tmp_path / "run"), as_of=dt.date(2002, 1, 1), loaded_at=dt.datetime(2024, 1, 1),
+        must_pass=False, stored_history=store,
+    )
+    assert store.newest() is None and not (tmp_path / "run/history").exists()
+    layered_run(
+        spark, DerivedBronze(spark, folder), str(tmp_path / "again"), as_of=dt.date(2002, 1, 1), loaded_at=dt.datetime(2024, 1, 1),
+        tolerated=ALL_CHECKS, stored_history=store,
+    )
+    customers = DerivedBronze(spark, folder)["customer"].where("c_customer_sk is not null").count()
+    assert store.newest()["load"] == 1 and store.read().where("dbt_valid_to is null").count() == customers
+
+
 def test_layers_publish_only_what_passes(spark, folder, tmp_path):
     options = {"as_of": dt.date(2002, 1, 1), "loaded_at": dt.datetime(2024, 1, 1)}
     sources = DerivedBronze(spark, folder)
