@@ -295,3 +295,20 @@ def test_layers_publish_only_what_passes(spark, folder, tmp_path):
         assert not spark.table(mart.replace("mart_", "mv_")).isEmpty()
     history = spark.read.parquet(str(tmp_path / "two/history/customer_snapshot"))
     assert history.count() == spark.read.parquet(str(tmp_path / "one/history/customer_snapshot")).count()
+
+
+def test_events_of_one_key_are_chosen_alike_in_any_order(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1, 10)
+    events = [("k", kind, item, at, at + dt.timedelta(hours=late)) for kind, item, late in
+              (("purchase", 1, 1), ("add_to_cart", 2, 1), ("page_view", 3, 1), ("add_to_cart", 2, 2))]
+    schema = "event_sk string, event_type string, item_id bigint, event_timestamp timestamp_ntz, _ingested_at timestamp_ntz"
+    for name, order in (("up", events), ("down", events[::-1])):
+        raw, out = str(tmp_path / name / "raw"), str(tmp_path / name / "out")
+        for event in order:  # a file each, read one by one
+            spark.createDataFrame([event], schema).coalesce(1).write.mode("append").parquet(raw)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(raw)
+        writer = ingest.dedup_events(stream).writeStream.option("checkpointLocation", str(tmp_path / name / "position"))
+        writer.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+        stored = spark.read.parquet(out)
+        assert sorted(r.event_type for r in stored.collect()) == ["add_to_cart", "page_view", "purchase"]
+        assert [(r.event_type, r.item_id) for r in ingest.one_per_key(stored).collect()] == [("add_to_cart", 2)]
