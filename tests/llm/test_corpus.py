@@ -260,6 +260,33 @@ def test_near_duplicates_of_long_repetitive_texts(stored):
     assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == want
 
 
+def test_near_duplicates_weigh_by_document_frequency(stored, monkeypatch):
+    """Boilerplate of a tenth of all texts does not link them; frequencies are those of different texts, in any cut."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    notice = words(220)
+    texts = [f"{notice} {words(20)}" for _ in range(40)] + [words(240) for _ in range(360)]
+    near = range(50, 60)  # nine tenths of another text come back
+    texts[400:] = [texts[n].rsplit(" ", 12)[0] + " " + words(12) for n in near]
+    texts += texts[:40] * 2  # copies count once
+    docs = stored([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    want = {n: n for n in range(len(texts))} | {b: a for b, a in zip(range(400, 410), near)} | {410 + n: n % 40 for n in range(80)}
+    bags = [collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts[:410])]
+    held = collections.Counter(s for bag in bags for s in bag)
+    assert (bags[0] & bags[1]).total() >= 0.8 * (bags[0] | bags[1]).total()  # term frequencies alone would link them
+    for parts in (1 << 30, 20_000):
+        monkeypatch.setattr(neardup, "PART_BYTES", parts)
+        assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == want
+    rows = stored([(n // 100, n, t) for n, t in enumerate(texts[:410])], "chunk long, rid long, text string")
+    for r in neardup.signatures(rows, 7, 410).collect():
+        keys = neardup.shingle_hashes([texts[r.rid]], neardup.SHINGLE)[0]
+        counts = neardup.unpacked(r.held, np.uint32)[np.searchsorted(np.unique(keys), keys)]
+        w = texts[r.rid].split()
+        assert counts.tolist() == [held[tuple(w[i : i + 5])] for i in range(len(w) - 4)]
+    weights = neardup.frequency_weights(np.array([1, 2, 5, 41, 410]), 410)
+    assert weights[0] == neardup.PLAIN and (np.diff(weights) < 0).all()
+
+
 def test_bands_of_uneven_frequencies():
     """Shared shingles that weigh more or less than the others, in texts drawn from bins."""
     rng = np.random.default_rng(6)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,89 +17,110 @@ SHINGLE = 5  # words
 SIMILARITY = 0.8  # weighted Jaccard
 BANDS, BAND = 16, 4  # samples of a band; a pair of similarity 0.8 agrees in one of the bands with chance 0.9998
 SAMPLES = BANDS * BAND
-COMMON = 0.2  # shingles of fewer than this share of all documents weigh the same; beyond it the weight falls
+SMOOTH = 10  # texts that are added to every document frequency, so that a handful of copies does not lose weight by its own size
 SHORT = 128  # texts up to the weight of so many shingles draw each sample from all of them; longer ones from a bin of their occurrences
-CHUNK = 2_000_000  # shingles that are counted at a time
+CHUNK = 256  # texts, by consecutive keys, whose shingles are counted together
+PART_BYTES = 32_000_000  # of the texts whose shingles one task counts
 BLOCK_ROWS, BLOCK_BYTES = 1000, 8_000_000  # of the texts that are verified together
 PIVOTS = 32  # texts of a large group that meet all its blocks
 
 
-def inverse_frequency(share: np.ndarray | float) -> np.ndarray | float:
-    return np.log1p(1 / np.maximum(share, COMMON))
+def inverse_frequency(share: np.ndarray | float, prior: float = 0.0) -> np.ndarray | float:
+    return np.log1p(1 / (share + prior))
 
 
-PLAIN = float(inverse_frequency(0.0))
+PLAIN = float(inverse_frequency(0.2))  # the unit of weights: that of a shingle which one text holds
 
 
-def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and inverse document frequencies of the shingles that COMMON of all ``docs`` (text) hold.
+def frequency_weights(held: np.ndarray, total: int) -> np.ndarray:
+    """Weights of shingles that ``held`` of ``total`` different texts hold: inverse document frequencies."""
+    prior = SMOOTH / total
+    return PLAIN * inverse_frequency(held / total, prior) / inverse_frequency(1 / total, prior)
 
-    Chunks of documents report shingles that half that share of their own documents hold. A shingle that is common
-    overall then has half of its documents reported at least, so at most 2 / COMMON times the mean number of shingles
-    of a document remain, whatever the size of the corpus; those few are counted exactly in a second pass."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        n = used = 0
+def packed(values: np.ndarray) -> bytes:
+    """The bytes of numbers, first bytes first, as those of sorted or small numbers compress well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
-        def report() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= COMMON / 2 * n
-            return pa.RecordBatch.from_arrays(
-                [pa.array([*values[often].view(np.int64), None], pa.int64()), pa.array([*counts[often], n], pa.int64())], ["h", "n"]
-            )
 
+def unpacked(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, len(data) // size).T).view(kind).ravel()
+
+
+def different_shingles(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Different shingles of each text, sorted, with their occurrences."""
+    found = []
+    for some in pieces([t or "" for t in texts], 1000):
+        found += [np.unique(s, return_counts=True) for s in shingle_hashes(texts[some], SHINGLE)]
+    return found
+
+
+def held_by(own: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """All different shingles of some texts, sorted, and how many of the texts hold each."""
+    return np.unique(np.concatenate([values for values, _ in own]), return_counts=True)
+
+
+PIECE_ROW = "part int, chunk long, piece long, rids binary, keys binary, held binary"
+
+
+def shingle_parts(texts: DataFrame, parts: int) -> DataFrame:
+    """Shingles of the rows (chunk, rid, text), cut into ``parts`` by their hashes. What a task meets of a chunk at a time
+    is a piece, named by its smallest rid; its rids stand beside its first part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def piece(chunk: int, members: dict[int, str]) -> pa.RecordBatch:
+            rids = sorted(members)
+            keys, held = held_by(different_shingles([members[r] for r in rids]))
+            part = part_of(keys, parts)
+            at = np.searchsorted(part, np.arange(parts + 1)).tolist()
+            rows = [p for p in range(parts) if not p or at[p] < at[p + 1]]
+            return pa.RecordBatch.from_pydict({
+                "part": pa.array(rows, pa.int32()), "chunk": pa.array([chunk] * len(rows), pa.int64()),
+                "piece": pa.array([rids[0]] * len(rows), pa.int64()),
+                "rids": pa.array([None if p else np.array(rids, dtype=np.int64).tobytes() for p in rows], pa.binary()),
+                "keys": pa.array([packed(keys[at[p] : at[p + 1]]) for p in rows], pa.binary()),
+                "held": pa.array([packed(held[at[p] : at[p + 1]].astype(np.uint16)) for p in rows], pa.binary()),
+            })
+
+        now, members = None, {}
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for some in pieces([t or "" for t in texts], 1000):
-                for shingles in shingle_hashes(texts[some], SHINGLE):
-                    held.append(np.unique(shingles))
-                    n, used = n + 1, used + len(held[-1])
-                if used > CHUNK:
-                    yield report()
-                    held, n, used = [], 0, 0
-        if n:
-            yield report()
-
-    sums = settle(docs.mapInArrow(tidy(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "shingle-reports")
-    total = (sums.where("h is null").first() or (None, 0))[1]
-    often = sums.where(F.col("h").isNotNull() & (F.col("n") >= COMMON / 2 * total)).select("h").collect()
-    candidates = np.sort(np.array([r.h for r in often], dtype=np.int64).view(np.uint64))
-    if not len(candidates):
-        return candidates, np.zeros(0)
-    sent = docs.sparkSession.sparkContext.broadcast(candidates)  # see above for the bound
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = sent.value
-        found = np.zeros(len(asked), dtype=np.int64)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for some in pieces([t or "" for t in texts], 1000):
-                for shingles in shingle_hashes(texts[some], SHINGLE):
-                    found[np.searchsorted(asked, asked[np.isin(asked, shingles)])] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(asked.view(np.int64)), pa.array(found)], ["h", "n"])
+            for chunk, rid, text in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if chunk != now and members:
+                    yield piece(now, members)
+                    members = {}
+                now, members[rid] = chunk, text
+        if members:
+            yield piece(now, members)
+
+    return texts.mapInArrow(tidy(run), PIECE_ROW)
 
-    counted = docs.mapInArrow(tidy(exact), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect()
-    number = {r.h: r.n for r in counted}
-    share = np.array([number[int(h)] for h in candidates.view(np.int64)]) / total
-    return candidates[share > COMMON], inverse_frequency(share[share > COMMON])
 
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each hash by its upper half; sorted hashes have sorted parts."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
-def counted(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different shingles, sorted, with their occurrences and inverse document frequencies."""
-    values, counts = np.unique(shingles, return_counts=True)
-    frequency = np.full(len(values), PLAIN)
-    if len(common[0]) and len(values):
-        at = np.minimum(np.searchsorted(common[0], values), len(common[0]) - 1)
-        hit = common[0][at] == values
-        frequency[hit] = common[1][at[hit]]
-    return values, counts, frequency
 
+def document_frequencies(pieces_of: DataFrame, parts: int) -> DataFrame:
+    """(chunk, piece, part, rids, held): the same rows with the number of all texts that hold each shingle. A task counts
+    one part at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for several in grouped(batches, ["part"]):
+            starts = starts_of(several.column("part").to_numpy()).tolist()
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                own = several.slice(a, b - a)
+                keys = [unpacked(k, np.uint64) for k in own.column("keys").to_pylist()]
+                held = np.concatenate([unpacked(h, np.uint16) for h in own.column("held").to_pylist()]).astype(np.int64)
+                ends = np.cumsum([len(k) for k in keys])[:-1]
+                different, place = np.unique(np.concatenate(keys), return_inverse=True)
+                all_held = np.bincount(place, weights=held, minlength=len(different)).astype(np.uint32)[place]
+                found = [packed(f) for f in np.split(all_held, ends)]
+                columns = [own.column(c).combine_chunks() for c in ("chunk", "piece", "part", "rids")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], ["chunk", "piece", "part", "rids", "held"])
 
-def weighted(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Different shingles, sorted, with their weights: occurrences times inverse document frequency."""
-    values, counts, frequency = counted(shingles, common)
-    return values, counts * frequency
+    dealt = pieces_of.repartition(parts, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(tidy(run), "chunk long, piece long, part int, rids binary, held binary")
 
 
 def occurrences(values: np.ndarray, counts: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,26 +189,45 @@ def bands_of(values: np.ndarray, counts: np.ndarray, frequency: np.ndarray) -> l
     return np.concatenate(found).view(np.int64).tolist() if found else []
 
 
-def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(rid, doc_id, sha, n_bytes, bands) of rows (rid, doc_id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(common)
+def signatures(texts: DataFrame, parts: int, total: int) -> DataFrame:
+    """(rid, bands, held) of the ``total`` different texts (chunk, rid, text). ``held`` has for each different shingle,
+    sorted, the number of texts that hold it."""
+    found = document_frequencies(shingle_parts(texts, parts), parts)
+    none = {"piece": "long", "part": "int", "rids": "binary", "held": "binary"}
+    both = texts.select("chunk", "rid", "text", *[F.lit(None).cast(kind).alias(c) for c, kind in none.items()]).unionByName(
+        found.withColumns({"rid": F.lit(None).cast("long"), "text": F.lit(None).cast("string")})
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            bands: list[list[int]] = []
-            for some in pieces(texts, 1000):
-                for shingles in shingle_hashes(texts[some], SHINGLE):
-                    bands.append(bands_of(*counted(shingles, sent.value)))
-            raw = [t.encode("utf-8") for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([hashlib.sha256(r).digest() for r in raw], pa.binary()),
-                 pa.array([len(r) for r in raw], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["rid", "doc_id", "sha", "n_bytes", "bands"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(tidy(run), f"rid long, doc_id {kind}, sha binary, n_bytes long, bands array<long>")
+        for several in grouped(batches, ["chunk"]):
+            starts = starts_of(several.column("chunk").to_numpy()).tolist()
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                own = several.slice(a, b - a).select(["rid", "text", "piece", "part", "rids", "held"]).to_pylist()
+                text = {r["rid"]: r["text"] for r in own if r["rid"] is not None}
+                counts: dict[int, list[tuple[int, bytes]]] = {}
+                members: dict[int, list[int]] = {}
+                for r in own:
+                    if r["rid"] is None:
+                        counts.setdefault(r["piece"], []).append((r["part"], r["held"]))
+                        if r["rids"] is not None:
+                            members[r["piece"]] = np.frombuffer(r["rids"], dtype=np.int64).tolist()
+                for piece, rids in members.items():
+                    shingles = different_shingles([text[r] for r in rids])
+                    keys, _ = held_by(shingles)
+                    held = np.concatenate([unpacked(h, np.uint32) for _, h in sorted(counts[piece])])
+                    bands, packs = [], []
+                    for values, n in shingles:
+                        here = held[np.searchsorted(keys, values)]
+                        bands.append(bands_of(values, n, frequency_weights(here, total)))
+                        packs.append(packed(here))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rids, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(packs, pa.binary())],
+                        names=["rid", "bands", "held"],
+                    )
+
+    tasks = max(parts, texts.sparkSession.sparkContext.defaultParallelism)
+    dealt = both.repartition(tasks, "chunk").sortWithinPartitions("chunk")
+    return dealt.mapInArrow(tidy(run), "rid long, bands array<long>, held binary")
 
 
 class Group:
@@ -197,8 +236,8 @@ class Group:
     Where texts meet by one ``band``, they may meet elsewhere as well: a pair is compared for the smallest band that it
     shares, and where two parts of a band meet (``side``), only across these."""
 
-    def __init__(self, rids: list[int], texts: list[str], bands: list[list[int]], known: list[int], side: list[int], common, band: int | None = None):
-        self.rids, self.bands, self.common = rids, bands, common
+    def __init__(self, rids: list[int], texts: list[str], held: list[bytes], bands: list[list[int]], known: list[int], side: list[int], total: int, band: int | None = None):
+        self.rids, self.bands, self.held, self.total = rids, bands, held, total
         self.band, self.side = band, side if len(set(side)) > 1 else None
         self.band_sets = [set(b) for b in bands] if band is not None else []
         self.sets: list = [None] * len(rids)
@@ -217,7 +256,8 @@ class Group:
 
     def weights_of(self, i: int):
         if self.sets[i] is None:
-            values, weights = weighted(shingle_hashes([self.texts[i]], SHINGLE)[0], self.common)
+            [(values, counts)] = different_shingles([self.texts[i]])
+            weights = counts * frequency_weights(unpacked(self.held[i], np.uint32), self.total)
             self.sets[i] = (values, weights, weights.sum())
         return self.sets[i]
 
@@ -280,9 +320,8 @@ class Group:
         return [(least[self.root(i)], rid) for i, rid in enumerate(self.rids) if rid != least[self.root(i)]]
 
 
-def verify(rows: DataFrame, keys: list[str], common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(a, b): verified links among the rows (keys, rid, text, bands, known, side) of each group."""
-    sent = rows.sparkSession.sparkContext.broadcast(common)
+def verify(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """(a, b): verified links among the rows (keys, rid, text, held, bands, known, side) of each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in grouped(batches, keys):
@@ -292,12 +331,12 @@ def verify(rows: DataFrame, keys: list[str], common: tuple[np.ndarray, np.ndarra
                 if b - a > 1:
                     own = part.slice(a, b - a).to_pydict()
                     band = own["band"][0] if "band" in keys else None
-                    links += Group(own["rid"], own["text"], own["bands"], own["known"], own["side"], sent.value, band).run()
+                    links += Group(own["rid"], own["text"], own["held"], own["bands"], own["known"], own["side"], total, band).run()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"]
             )
 
-    columns = rows.select(*keys, "rid", "text", "bands", "known", "side")
+    columns = rows.select(*keys, "rid", "text", "held", "bands", "known", "side")
     return columns.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), "a long, b long")
 
 
@@ -307,7 +346,9 @@ def near_duplicates(
     """(rid, doc_id, class_id, class_size, kept) of every row; ``rid`` is the column ``row_key`` of ``docs``, or a key
     made here.
 
-    Equal texts are one text with copies. Different texts are candidates when they agree in a band of samples. What
+    Equal texts are one text with copies. Shingles weigh by their occurrences and their inverse document frequency; all
+    document frequencies are counted, over different texts: shingles are dealt by their hashes to tasks that count them,
+    and the counts come back to the texts, beside which they stay. Different texts are candidates when they agree in a band of samples. What
     candidates connect is shipped once, together, and verified by the weighted Jaccard similarity of whole texts. A
     connected set beyond BLOCK_ROWS texts or BLOCK_BYTES is cut into blocks that a few pivots all meet; where after that
     a band still holds texts that don't hang together, its blocks meet two by two. So no link between different texts
@@ -321,12 +362,21 @@ def near_duplicates(
     named = [F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")]
     rows = docs.select(F.col(row_key).alias("rid"), *named) if row_key else with_row_key(docs.select(*named))
     rows = rows.select("rid", "doc_id", "text")
-    common = common_shingles(docs.select(F.col(text_column).alias("text")))
-    signed = settle(signatures(rows, common), "signatures")
-    texts = settle(
-        signed.groupBy("sha").agg(F.min("rid").alias("rid"), F.min("n_bytes").alias("n_bytes"), F.min_by("bands", "rid").alias("bands")),
-        "different-texts",
+    whole = F.coalesce("text", F.lit("")).alias("text")
+    hashed = rows.select("rid", "doc_id", whole).select(
+        "rid", "doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")
     )
+    hashed = settle(hashed, "text-hashes")
+    different = settle(hashed.groupBy("sha").agg(F.min("rid").alias("rid"), F.min("n_bytes").alias("n_bytes")), "different-texts")
+    total, n_bytes = different.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    copies = hashed.select("rid").join(different.select("rid"), "rid", "left_anti")
+    chunk = F.expr(f"rid div {CHUNK}")
+    copied = copies.groupBy(chunk.alias("chunk")).agg(F.collect_list("rid").alias("copies"))  # at most CHUNK each
+    copied = settle(copied, "copies-by-chunk")
+    own = rows.select(chunk.alias("chunk"), "rid", whole).join(copied, "chunk", "left")
+    own = own.where("copies is null or not array_contains(copies, rid)").select("chunk", "rid", "text")
+    signed = settle(signatures(own, max(1, -(-n_bytes // PART_BYTES)), total), "signatures")
+    texts = different.join(signed.select("rid", "bands"), "rid")
     banded = texts.select("rid", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rid").alias("least")).where("n > 1").drop("n")
     member = settle(banded.join(shared, "band").select("band", "rid", "least"), "band-members")
@@ -341,17 +391,17 @@ def near_duplicates(
     blocks = F.when(pivot, F.expr("sequence(0, blocks - 1)")).otherwise(F.array("block"))
     placed = placed.select(F.col("node").alias("rid"), "component", "bands", F.explode(blocks).alias("block"), "blocks")
     own_texts = settle(
-        rows.select("rid", F.coalesce("text", F.lit("")).alias("text")).join(candidate.select(F.col("node").alias("rid")), "rid"), "candidate-texts"
+        own.select("rid", "text").join(signed.select("rid", "held").join(candidate.select(F.col("node").alias("rid")), "rid"), "rid"), "candidate-texts"
     )
     grouped_texts = placed.join(own_texts, "rid").withColumn("known", F.col("rid")).withColumn("side", F.lit(0))
-    links = settle(verify(grouped_texts, ["component", "block"], common), "verified-links")
+    links = settle(verify(grouped_texts, ["component", "block"], total), "verified-links")
     split = size.where("blocks > 1")
     linked = components(links, "near-copies")
     if split.limit(1).count():
         known = settle(linked, "known-copies")
-        across = settle(_across_blocks(placed, member, own_texts, known, common), "verified-across")
+        across = settle(_across_blocks(placed, member, own_texts, known, total), "verified-across")
         linked = components(known.selectExpr("node as a", "component as b").union(across), "near-copies")
-    final = signed.join(texts.select("sha", F.col("rid").alias("text_rid")), "sha").join(linked, F.col("text_rid") == F.col("node"), "left")
+    final = hashed.join(different.select("sha", F.col("rid").alias("text_rid")), "sha").join(linked, F.col("text_rid") == F.col("node"), "left")
     final = final.select("rid", "doc_id", F.coalesce("component", "text_rid").alias("group"))
     first = final.groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"), F.count("*").alias("class_size")
@@ -361,7 +411,7 @@ def near_duplicates(
     )
 
 
-def _across_blocks(placed: DataFrame, member: DataFrame, texts: DataFrame, known: DataFrame, common) -> DataFrame:
+def _across_blocks(placed: DataFrame, member: DataFrame, texts: DataFrame, known: DataFrame, total: int) -> DataFrame:
     """Links between texts of split sets that share a band but don't hang together yet by ``known`` (node, component)."""
     of_split = placed.where("blocks > 1").select("rid", "bands").dropDuplicates(["rid"]).join(known, F.col("rid") == F.col("node"), "left")
     of_split = of_split.select("rid", "bands", F.coalesce("component", "rid").alias("known"))
@@ -376,7 +426,7 @@ def _across_blocks(placed: DataFrame, member: DataFrame, texts: DataFrame, known
         "band", F.least("part", "with").alias("left_part"), F.greatest("part", "with").alias("right_part"), "rid", "bands", "known",
         F.col("part").alias("side"),
     )
-    return verify(met.join(texts, "rid"), ["band", "left_part", "right_part"], common)
+    return verify(met.join(texts, "rid"), ["band", "left_part", "right_part"], total)
 
 
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
