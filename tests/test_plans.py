@@ -6,7 +6,7 @@ import re
 import pytest
 
 from tillwork.plans.warehouse import MART_NAMES, Warehouse
-from tillwork.sources import DerivedBronze, copy_bronze
+from tillwork.sources import DerivedBronze, copy_bronze, derived
 
 
 @pytest.fixture(scope="module")
@@ -45,3 +45,14 @@ def test_scans_read_few_columns_and_push_the_staging_filter(house):
 
 def test_latest_snapshots_are_pruned_before_the_shuffle(house):
     assert re.search(r"WindowGroupLimit.*Partial", plan_of(house.mart_inventory_health))
+
+
+def test_shuffles_start_with_partitions_for_the_size_of_the_files(spark, folder, monkeypatch):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for size, want in ((1 << 40, least), (1000, least + 1)):
+        monkeypatch.setattr(derived, "PART_BYTES", size)
+        derived.DerivedBronze(spark, folder)
+        found = int(spark.conf.get(derived.PARTITIONS))
+        assert found == least if want == least else found >= want
+    monkeypatch.undo()
+    derived.DerivedBronze(spark, folder)
