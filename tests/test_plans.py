@@ -43,6 +43,23 @@ def test_scans_read_few_columns_and_push_the_staging_filter(house):
     assert "md5" not in plan
 
 
+@pytest.mark.parametrize("model, join", [
+    ("net_sales", "SortMergeJoin [ticket_number"), ("sales_lines", "SortMergeJoin [ticket_number"),
+])
+def test_hashed_keys_and_descriptions_come_after_the_wide_shuffle(house, model, join):
+    above, below = plan_of(getattr(house, model)).split(join, 1)
+    assert "md5(" in above and "item_description" in above
+    assert "md5(" not in below
+
+
+def test_marts_need_no_more_of_the_lines_than_is_stored_for_them(house):
+    stored = house.mart_lines
+    assert "sale_sk" not in stored.columns and "item_description" not in stored.columns
+    shared = Warehouse(house.bronze, as_of=house.as_of, lines=stored)
+    for mart in MART_NAMES:
+        assert shared.mart(mart).schema == house.mart(mart).schema
+
+
 def test_latest_snapshots_are_pruned_before_the_shuffle(house):
     assert re.search(r"WindowGroupLimit.*Partial", plan_of(house.mart_inventory_health))
 
