@@ -44,7 +44,7 @@ def test_scans_read_few_columns_and_push_the_staging_filter(house):
 
 
 @pytest.mark.parametrize("model, join", [
-    ("net_sales", "SortMergeJoin [ticket_number"), ("sales_lines", "SortMergeJoin [ticket_number"),
+    ("net_sales", "SortMergeJoin [ticket_number"), ("sales_lines", "SortMergeJoin [ticket_number"), ("inventory_daily", "Window "),
 ])
 def test_hashed_keys_and_descriptions_come_after_the_wide_shuffle(house, model, join):
     above, below = plan_of(getattr(house, model)).split(join, 1)
