@@ -5,8 +5,9 @@ import re
 
 import pytest
 
+from tillwork.plans import catalog
 from tillwork.plans.warehouse import MART_NAMES, Warehouse
-from tillwork.sources import DerivedBronze, copy_bronze, derived
+from tillwork.sources import DerivedBronze, compare_contents, copy_bronze, derived
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +74,24 @@ def test_shuffles_start_with_partitions_for_the_size_of_the_files(spark, folder,
         assert found == least if want == least else found >= want
     monkeypatch.undo()
     derived.DerivedBronze(spark, folder)
+
+
+FACTS = ("store_sales", "web_sales", "catalog_sales", "store_returns", "web_returns", "inventory")
+
+
+def test_settled_tables_hold_the_same_rows_and_are_only_scanned(spark, folder):
+    plain = DerivedBronze(spark, folder)
+    settled = plain.settled()
+    for table in FACTS:
+        assert settled[table].columns == plain[table].columns
+        assert compare_contents(plain[table], settled[table]).where("not same").isEmpty()
+        assert not re.search("Join|Exchange", plan_of(settled[table])), table
+
+
+def test_captured_tables_are_scanned_for_each_half(spark, folder):
+    captured = catalog._Captured(spark, folder).append(0).append(1)
+    for table in FACTS:
+        path, schema = captured.streams[table]
+        assert not re.search("Join|Exchange", plan_of(captured.raw[table]))
+        appended = spark.read.schema(schema).parquet(path)
+        assert compare_contents(DerivedBronze(spark, folder)[table], appended).where("not same").isEmpty()
