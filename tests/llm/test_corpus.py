@@ -6,6 +6,7 @@ import itertools
 import json
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -307,6 +308,23 @@ def test_bands_of_uneven_frequencies():
         assert found >= 199
 
 
+def test_document_frequencies_in_bounded_memory():
+    """Sums over equal shingles, for which a part's keys and counts are held but no sorted copies of all of them."""
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 1 << 20, 2_000_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    held = rng.integers(1, 257, len(keys)).astype(np.uint16)
+    tracemalloc.start()
+    found = neardup.held_in_all(keys, held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * keys.nbytes  # 5.5 where all are sorted at once
+    different, place = np.unique(keys, return_inverse=True)
+    assert (found == np.bincount(place, weights=held)[place]).all()
+    some = np.array([0, 7, 7, (1 << 64) - 1, 7, 0], dtype=np.uint64)
+    assert neardup.held_in_all(some, np.arange(1, 7, dtype=np.uint16)).tolist() == [7, 10, 10, 4, 10, 7]
+    assert len(neardup.held_in_all(some[:0], held[:0])) == 0
+
+
 def removed(texts, length, keep_first):
     counts = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     seen, out = set(), []

@@ -21,6 +21,8 @@ SMOOTH = 10  # texts that are added to every document frequency, so that a handf
 SHORT = 128  # texts up to the weight of so many shingles draw each sample from all of them; longer ones from a bin of their occurrences
 CHUNK = 256  # texts, by consecutive keys, whose shingles are counted together
 PART_BYTES = 32_000_000  # of the texts whose shingles one task counts
+RANGE_KEYS = 1 << 17  # shingles of a part that are sorted at a time
+PIECES = 100  # whose counts leave a task at a time
 BLOCK_ROWS, BLOCK_BYTES = 1000, 8_000_000  # of the texts that are verified together
 PIVOTS = 32  # texts of a large group that meet all its blocks
 
@@ -101,23 +103,46 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
+def held_in_all(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """For each of ``keys`` the sum of ``held`` over all equal ones. Equal keys lie in one range of hashes, so ranges of
+    some RANGE_KEYS keys are sorted one after the other, and nothing but keys and counts is as long as the part."""
+    found = np.empty(len(keys), dtype=np.uint32)
+    if not len(keys):
+        return found
+    low, high = int(keys.min()), int(keys.max())
+    ranges = -(-len(keys) // RANGE_KEYS)
+    wide = (high - low) // ranges + 1
+    for begin in range(low, high + 1, wide):
+        at = np.flatnonzero((keys >= np.uint64(begin)) & (keys <= np.uint64(min(begin + wide - 1, high))))
+        different, place = np.unique(keys[at], return_inverse=True)
+        found[at] = np.bincount(place, weights=held[at], minlength=len(different))[place]
+    return found
+
+
 def document_frequencies(pieces_of: DataFrame, parts: int) -> DataFrame:
     """(chunk, piece, part, rids, held): the same rows with the number of all texts that hold each shingle. A task counts
-    one part at a time."""
+    one part at a time, and lets go of its rows as soon as keys and counts are unpacked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for several in grouped(batches, ["part"]):
             starts = starts_of(several.column("part").to_numpy()).tolist()
-            for a, b in zip(starts[:-1], starts[1:], strict=True):
-                own = several.slice(a, b - a)
-                keys = [unpacked(k, np.uint64) for k in own.column("keys").to_pylist()]
-                held = np.concatenate([unpacked(h, np.uint16) for h in own.column("held").to_pylist()]).astype(np.int64)
-                ends = np.cumsum([len(k) for k in keys])[:-1]
-                different, place = np.unique(np.concatenate(keys), return_inverse=True)
-                all_held = np.bincount(place, weights=held, minlength=len(different)).astype(np.uint32)[place]
-                found = [packed(f) for f in np.split(all_held, ends)]
-                columns = [own.column(c).combine_chunks() for c in ("chunk", "piece", "part", "rids")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], ["chunk", "piece", "part", "rids", "held"])
+            waiting = [several.slice(a, b - a) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            del several
+            while waiting:
+                own = waiting.pop(0)
+                sizes = np.array([len(k.as_buffer()) // 8 for k in own.column("keys")])
+                ends = np.cumsum(sizes).tolist()
+                keys, held = np.empty(ends[-1], dtype=np.uint64), np.empty(ends[-1], dtype=np.uint16)
+                for k, h, n, end in zip(own.column("keys"), own.column("held"), sizes.tolist(), ends, strict=True):
+                    keys[end - n : end], held[end - n : end] = unpacked(k.as_buffer(), np.uint64), unpacked(h.as_buffer(), np.uint16)
+                own = own.select(["chunk", "piece", "part", "rids"]).combine_chunks()
+                all_held = held_in_all(keys, held)
+                del keys, held
+                for at in range(0, len(ends), PIECES):
+                    some = own.slice(at, PIECES)
+                    found = [packed(all_held[end - n : end]) for n, end in zip(sizes[at : at + PIECES].tolist(), ends[at : at + PIECES], strict=True)]
+                    columns = [some.column(c).combine_chunks() for c in ("chunk", "piece", "part", "rids")]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], ["chunk", "piece", "part", "rids", "held"])
 
     dealt = pieces_of.repartition(parts, "part").sortWithinPartitions("part")
     return dealt.mapInArrow(tidy(run), "chunk long, piece long, part int, rids binary, held binary")
