@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from tillwork.operators import lookup
 from tillwork.plans import catalog
 from tillwork.plans.warehouse import MART_NAMES, Warehouse
 from tillwork.sources import DerivedBronze, compare_contents, copy_bronze, derived
@@ -53,6 +54,14 @@ def test_hashed_keys_and_descriptions_come_after_the_wide_shuffle(house, model,
     assert "md5(" not in below
 
 
+def test_names_of_stores_come_after_the_shuffle_for_customers(house, monkeypatch):
+    monkeypatch.setitem(lookup.lookup.__kwdefaults__, "limit", 0)
+    shuffled = Warehouse(house.bronze, as_of=house.as_of)
+    before, _ = plan_of(shuffled.mart_customer_ltv).split("Exchange hashpartitioning(known_customer_id", 1)
+    above, facts = before.rsplit("SortMergeJoin [customer_id", 1)
+    assert "store_state" in above and "store_state" not in facts and "store_id" in facts
+
+
 def test_marts_need_no_more_of_the_lines_than_is_stored_for_them(house):
     stored = house.mart_lines
     assert "sale_sk" not in stored.columns and "item_description" not in stored.columns
