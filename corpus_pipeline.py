@@ -33,12 +33,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes later copies of strings of 400 bytes; a document of which nothing is left goes."""
+    """Removes later copies of strings of 400 bytes and of passages of 50 words, which may have fewer bytes; a document
+    of which no word is left goes."""
     docs = docs.select(*COLUMNS)
-    cleaned = repeats.remove_repeats(docs, keep_first=True, characters=True, keep=["lang", "source", "n_chars"])
+    cleaned = repeats.remove_repeats(
+        docs, keep_first=True, characters=True, keep=["lang", "source", "n_chars"], words=repeats.WORDS
+    )
     text = F.when(F.col("n_bytes") > 0, F.col("kept").cast("string"))
     changed = F.size("spans") > 0
-    return cleaned.where("n_bytes = 0 or octet_length(kept) > 0").select(
+    return cleaned.where(~changed | F.col("kept").cast("string").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc_id", text.alias("text"), "lang", "source",
         F.when(changed, F.length(F.col("kept").cast("string")).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
     )

@@ -359,6 +359,66 @@ def test_repeats(stored, odd, none, keep_first):
     assert repeats.remove_repeats(none, 400, keep_first).count() == 0
 
 
+def removed_by_words(texts, length, words, keep_first):
+    """Strings of ``length`` bytes and passages of ``words`` words, whatever parts the words."""
+    places = []
+    for i, t in enumerate(texts):
+        at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        places += [(i, j, j + length, t[j : j + length]) for j in range(len(t) - length + 1)]
+        runs = (at[j : j + words] for j in range(len(at) - words + 1))
+        places += [(i, run[0][0], run[-1][1], tuple(t[s:e] for s, e in run)) for run in runs]
+    counts, seen = collections.Counter(p[3] for p in places), set()
+    gone = [bytearray(len(t)) for t in texts]
+    for i, s, e, what in places:
+        if what in seen if keep_first else counts[what] > 1:
+            gone[i][s:e] = b"\1" * (e - s)
+        seen.add(what)
+    return [bytes(b for b, g in zip(t, one, strict=True) if not g) for t, one in zip(texts, gone, strict=True)]
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+def test_repeats_of_passages_by_words(stored, odd, none, keep_first):
+    rng = random.Random(5)
+    base = [[rng.choice(["a", "bé", "c", "ddd", "e-"]) for _ in range(60)] for _ in range(5)]
+    texts = []
+    for i in range(60):
+        parts = [rng.choice(["", " ", "\n"])]
+        for _ in range(rng.randrange(0, 5)):
+            b, s = rng.choice(base), rng.randrange(0, 40)
+            for word in [*b[s : s + rng.randrange(8, 30)], *(rng.choice("uvwxyz") for _ in range(rng.randrange(0, 9)))]:
+                parts += [word, rng.choice([" ", " ", " ", "\t", "\n\n"])]
+        texts.append({0: "so " * i, 1: "q" * i * 3, 2: None, 3: "x" * 70 + f" end {i}"}.get(i % 17, "".join(parts)))
+    docs = stored(list(enumerate(texts)), "doc_id long, text string")
+    data = [(t or "").encode() for t in texts]
+    want = removed_by_words(data, 60, 12, keep_first)
+    assert want != removed(data, 60, keep_first)
+    for hot in (repeats.HOT_BYTES, 500):
+        rows = sorted(repeats.remove_repeats(docs, 60, keep_first, hot_bytes=hot, words=12).collect(), key=lambda r: r.doc_id)
+        assert [bytes(r.kept) for r in rows] == want
+    assert repeats.remove_repeats(odd, 400, keep_first, words=50).count() == odd.count()
+    assert repeats.remove_repeats(none, 400, keep_first, words=50).count() == 0
+
+
+def test_pipeline_removes_passages_of_fewer_bytes(spark, folder, stored):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7))) for _ in range(n))
+
+    passage = prose(55)
+    assert len(passage) < 400
+    rows = [(i, f"{prose(40)} {passage if i % 2 else prose(55)}\n{prose(30)}", "en", "s", 1) for i in range(10)]
+    rows += [(10, passage.replace(" ", "\n") + "\n", "en", "s", 1), (11, " ", "en", "s", 1), (12, None, "en", "s", None)]
+    docs = stored(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, folder).collect()}
+    before = {i: t for i, t, *_ in rows}
+    assert sorted(left) == [*range(10), 11, 12]
+    assert [i for i, t in left.items() if passage in (t or "")] == [1]
+    assert all(left[i] == (before[i] if i == 1 else before[i].replace(passage, "")) for i in range(10))
+
+
 def test_longest_previous_factors():
     rng = np.random.default_rng(4)
     data = rng.integers(97, 99, 400).astype(np.uint8)
