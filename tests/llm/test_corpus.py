@@ -288,6 +288,21 @@ def test_near_duplicates_weigh_by_document_frequency(stored, monkeypatch):
     assert weights[0] == neardup.PLAIN and (np.diff(weights) < 0).all()
 
 
+def test_groups_of_near_copies_keep_their_weight(stored):
+    """A hundredth of all texts are near copies of each other, in a corpus in which their number is no small one."""
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    base = words(120)
+    texts = [f"{base} {words(13)}" for _ in range(40)] + [words(20) for _ in range(3960)]
+    bags = [collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts[:40])]
+    assert 0.8 < (bags[0] & bags[1]).total() / (bags[0] | bags[1]).total() < 0.82
+    docs = stored(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == {n: n if n >= 40 else 0 for n in range(4000)}
+    for total in (10_000, 1_000_000, 100_000_000):  # the same share weighs the same, a tenth much less than one text
+        weights = neardup.frequency_weights(np.array([0.005, 0.01, 0.1, 1.0]) * total, total) / neardup.PLAIN
+        assert weights[0] > 0.99 and weights[1] > 0.97 and weights[2] < 0.61 and weights[3] < 0.18
+
+
 def test_bands_of_uneven_frequencies():
     """Shared shingles that weigh more or less than the others, in texts drawn from bins."""
     rng = np.random.default_rng(6)

@@ -17,7 +17,8 @@ SHINGLE = 5  # words
 SIMILARITY = 0.8  # weighted Jaccard
 BANDS, BAND = 16, 4  # samples of a band; a pair of similarity 0.8 agrees in one of the bands with chance 0.9998
 SAMPLES = BANDS * BAND
-SMOOTH = 10  # texts that are added to every document frequency, so that a handful of copies does not lose weight by its own size
+COMMON = 0.02  # share of all texts below which a shingle weighs almost as one that a single text holds, so that groups of near copies don't lose weight by their own size, however many texts there are
+SMOOTH = 10  # texts that take the place of that share where it is fewer
 SHORT = 128  # texts up to the weight of so many shingles draw each sample from all of them; longer ones from a bin of their occurrences
 CHUNK = 256  # texts, by consecutive keys, whose shingles are counted together
 PART_BYTES = 32_000_000  # of the texts whose shingles one task counts
@@ -28,15 +29,17 @@ PIVOTS = 32  # texts of a large group that meet all its blocks
 
 
 def inverse_frequency(share: np.ndarray | float, prior: float = 0.0) -> np.ndarray | float:
-    return np.log1p(1 / (share + prior))
+    """Shares far below ``prior`` hardly differ, shares far above it are as they are."""
+    return np.log1p(1 / np.hypot(share, prior))
 
 
 PLAIN = float(inverse_frequency(0.2))  # the unit of weights: that of a shingle which one text holds
 
 
 def frequency_weights(held: np.ndarray, total: int) -> np.ndarray:
-    """Weights of shingles that ``held`` of ``total`` different texts hold: inverse document frequencies."""
-    prior = SMOOTH / total
+    """Weights of shingles that ``held`` of ``total`` different texts hold: inverse document frequencies. Beyond some
+    hundreds of texts a weight follows from the share alone: a group that grows with its corpus keeps its weights."""
+    prior = max(SMOOTH / total, COMMON)
     return PLAIN * inverse_frequency(held / total, prior) / inverse_frequency(1 / total, prior)
 
 
