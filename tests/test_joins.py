@@ -83,6 +83,36 @@ def test_large_dimension_is_not_broadcast(facts, dim):
     assert "strategy=broadcast" in hinted
 
 
+@pytest.fixture(scope="module")
+def packed(spark, tmp_path_factory):
+    """Items in files of 40 MB as stored, but for a broadcast many times as much: five million of them."""
+    path = str(tmp_path_factory.mktemp("packed") / "items")
+    listed = spark.range(0, 5_000_000, 1, 4).select("id", F.lit("toys").alias("category"), F.lit("mid").alias("price_tier"))
+    listed.write.option("compression", "none").option("parquet.enable.dictionary", "true").parquet(path)
+    items = spark.read.parquet(path).withColumnRenamed("id", "item_id")
+    assert 16 * 1024**2 < lookup.input_bytes(items) < 64 * 1024**2
+    return items
+
+
+@pytest.fixture
+def ready_to_broadcast(spark):
+    """Spark itself would broadcast anything."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packed_dimension_beyond_the_limit_is_not_broadcast(facts, packed, ready_to_broadcast):
+    """The driver would hold it as a whole. Spark may still choose for frames whose inputs say nothing about them."""
+    joined = lookup.lookup(facts, packed, {"k": "item_id"})
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    free = lookup.lookup(facts, packed, {"k": "item_id"}, limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in free
+    same(joined, facts.join(packed, F.col("k") == F.col("item_id"), "left"))
+
+
 def test_a_hot_key_costs_one_pass_over_each_side(spark, tmp_path):
     """The plan that ran reads each side once: the keys with a partner are counted from the exchange of the join."""
     for name, step in (("left", 60), ("right", 45)):
