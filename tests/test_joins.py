@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwork.operators import keys, lookup
+from tillwork.plans import marts
 
 
 @pytest.fixture(autouse=True)
@@ -113,6 +114,22 @@ def test_packed_dimension_beyond_the_limit_is_not_broadcast(facts, packed, ready
     same(joined, facts.join(packed, F.col("k") == F.col("item_id"), "left"))
 
 
+def test_returns_by_promo_flag_of_many_items(spark, packed, ready_to_broadcast):
+    """Returns of known items and of an unknown one, without a broadcast of all items."""
+    returns = spark.createDataFrame(
+        [(1, 10, 2, 5.0), (1, 10, 1, 2.5), (2, 11, 4, 1.0), (3, -1, 7, 3.0)],
+        "ticket_number long, item_id long, quantity_returned long, return_amount double",
+    ).withColumn("return_amount", F.col("return_amount").cast("decimal(12,2)"))
+    sold = spark.createDataFrame([(1, 10, 5), (1, 10, None)], "ticket_number long, item_id long, promotion_id long")
+    found = marts.returns_by_promo_flag(returns, sold, packed)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    columns = ("item_id", "was_promoted", "units_returned", "gross_return_value", "category")
+    rows = {(r[0], r[1]): (r[2], float(r[3]), r[4]) for r in found.select(*columns).collect()}
+    assert rows == {
+        (10, True): (3, 7.5, "toys"), (10, False): (3, 7.5, "toys"), (11, False): (4, 1.0, "toys"), (-1, False): (7, 3.0, None)
+    }
+
+
 def test_a_hot_key_costs_one_pass_over_each_side(spark, tmp_path):
     """The plan that ran reads each side once: the keys with a partner are counted from the exchange of the join."""
     for name, step in (("left", 60), ("right", 45)):
